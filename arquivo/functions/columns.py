@@ -58,20 +58,29 @@ def path_stem(name: Column | str) -> Column:
     return F.substring(name, F.lit(1), F.length(name) - F.length(suf))
 
 
-def ancestors(dir_: Column | str, max_depth: int = 3) -> Column:
-    """Array of struct(ancestor, depth): the directory itself (depth 0) and its
-    parents up to ``max_depth`` levels; entries beyond the root are null.
-    Trailing slashes are ignored. Fixed arity, so it stays in generated code."""
-    d = F.regexp_replace(col(dir_), "/+$", "")
-    parts = F.split(d, "/")
+def normalized_dir(dir_: Column | str) -> Column:
+    """Directory with repeated slashes collapsed and trailing slashes dropped."""
+    return F.regexp_replace(F.regexp_replace(col(dir_), "/+", "/"), "(.)/$", "$1")
+
+
+def ancestors_from_parts(parts: Column, max_depth: int = 3) -> Column:
+    """Array of struct(ancestor, depth) from the split path ``parts``: the
+    directory itself (depth 0) and its parents up to ``max_depth`` levels;
+    entries beyond the root are null. Fixed arity, so it stays in generated
+    code; ``parts`` should be a column so the split is done once."""
     n = F.size(parts)
     items = []
     for i in range(max_depth + 1):
-        anc = F.when(n - i >= 1, F.array_join(F.slice(parts, F.lit(1), F.greatest(n - i, F.lit(1))), "/"))
-        items.append(F.when(anc.isNotNull(), F.struct(anc.alias("ancestor"), F.lit(i).alias("depth"))))
+        anc = F.array_join(F.slice(parts, F.lit(1), F.greatest(n - i, F.lit(1))), "/")
+        items.append(F.when(n - i >= 1, F.struct(anc.alias("ancestor"), F.lit(i).alias("depth"))))
     return F.array(*items)
 
 
+def ancestors(dir_: Column | str, max_depth: int = 3) -> Column:
+    """``ancestors_from_parts`` of a directory column (split inline)."""
+    return ancestors_from_parts(F.split(normalized_dir(dir_), "/"), max_depth)
+
+
 # --- partitions ---------------------------------------------------------------
 
 def partition_key(uf: Column | str, year: Column | str, month: Column | str,

@@ -23,7 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arquivo.functions.columns import ancestors, century_year, extension_of, stem_before_extension
+from arquivo.functions.columns import (
+    ancestors_from_parts,
+    century_year,
+    extension_of,
+    normalized_dir,
+    stem_before_extension,
+)
 from arquivo.sources import registry as reg
 
 # Each shape (except 'any') is a fixed-length tail of the stem. Per shape:
@@ -138,13 +144,33 @@ def _registry_broadcast(spark) -> DataFrame:
     return F.broadcast(reg.registry(spark))
 
 
-def _with_known_ancestors(files: DataFrame, max_depth: int, dirs: list[str]) -> DataFrame:
-    """Explode each file into the registry directories it lies under (<= max_depth)."""
-    known = F.array(*[F.lit(d) for d in dirs])
-    exploded = files.withColumn("_anc", F.explode(ancestors(F.col("dir"), max_depth)))
+def with_known_ancestors(files: DataFrame, max_depth: int, dirs: list[str],
+                         out: str = "period_dir") -> DataFrame:
+    """Explode each file into the known directories it lies under (<= max_depth
+    levels), adding ``out`` and ``depth``.
+
+    The path is split once in a projection and the ancestor array built from
+    that column, so the explode only reads a column. ``explode_outer`` keeps
+    the optimizer from inferring a ``size(array) > 0`` filter and pushing it,
+    with the array expression inlined, below a repartition; the null rows it
+    yields are dropped by the known-directory filter."""
+    known = F.array(*[F.lit(d) for d in sorted({_norm(d) for d in dirs})])
+    staged = files.withColumn("_dparts", F.split(normalized_dir(F.col("dir")), "/")).withColumn(
+        "_ancs", ancestors_from_parts(F.col("_dparts"), max_depth)
+    )
+    exploded = staged.withColumn("_anc", F.explode_outer("_ancs"))
     return exploded.filter(F.array_contains(known, F.col("_anc.ancestor"))).select(
-        "*", F.col("_anc.ancestor").alias("period_dir"), F.col("_anc.depth").alias("depth")
-    ).drop("_anc")
+        "*", F.col("_anc.ancestor").alias(out), F.col("_anc.depth").alias("depth")
+    ).drop("_anc", "_ancs", "_dparts")
+
+
+def _norm(d: str) -> str:
+    import re
+    d = re.sub("/+", "/", d)
+    return d[:-1] if len(d) > 1 and d.endswith("/") else d
+
+
+_with_known_ancestors = with_known_ancestors
 
 
 def _prepare(files: DataFrame) -> DataFrame:
@@ -168,7 +194,7 @@ def classify(files: DataFrame, max_depth: int = 3) -> DataFrame:
     staged = exploded.withColumn(
         "_stem", stem_before_extension(F.lower(F.col("filename")), F.col("extension"))
     )
-    cand = _candidates(staged, registry_shapes()).withColumn("_c", F.explode("_cands")) \
+    cand = _candidates(staged, registry_shapes()).withColumn("_c", F.explode_outer("_cands")) \
         .filter(F.col("_c").isNotNull())
     r = _registry_broadcast(spark).select(
         F.col("period_dir").alias("_r_dir"), F.col("shape").alias("_r_shape"),

@@ -38,11 +38,16 @@ def parse_listing(df: DataFrame, line_col: str = "line", dir_col: str = "dir") -
 
     The line is split once into a struct that is ``inline``d; filters on the
     derived columns then stop at that step instead of being rewritten into
-    copies of the whole parse expression below it.
+    copies of the whole parse expression below it. The outer form is used so
+    that the optimizer infers no ``size(...) > 0`` filter, which it would push
+    (with the whole parse inlined) below any repartition of the input.
     """
     line = F.col(line_col)
     # Leading blanks dropped, then at most four fields; the last keeps its blanks.
-    parts = F.split(F.regexp_replace(line, r"^\s+", ""), r"\s+", 4)
+    # The split is its own projection so it runs once per line.
+    df0 = df
+    df = df.withColumn("_parts", F.split(F.regexp_replace(line, r"^\s+", ""), r"\s+", 4))
+    parts = F.col("_parts")
     tokens = F.struct(
         (F.size(parts) == 4).alias("_matched"),
         line.contains("<DIR>").alias("is_dir"),
@@ -51,11 +56,11 @@ def parse_listing(df: DataFrame, line_col: str = "line", dir_col: str = "dir") -
         parts[2].alias("size_text"),
         parts[3].alias("filename"),
     )
-    t = df.select("*", F.inline(F.array(tokens)))
+    t = df.select(*df0.columns, F.inline_outer(F.array(tokens)))
     matched, is_dir = F.col("_matched"), F.col("is_dir")
     size_num = F.col("size_text").try_cast("bigint")
     out = t.select(
-        *df.columns,
+        *df0.columns,
         F.when(matched, F.col("filename")).alias("filename"),
         is_dir,
         _listing_timestamp(F.col("_date_txt"), F.col("_time_txt")).alias("datetime"),

@@ -24,28 +24,35 @@ def parse_store_names(df: DataFrame, name_col: str = "name") -> DataFrame:
 
     Stem = name without its last suffix; split at the last '@' into base and
     date; base split at the first '_' into dataset and partition ('' if none);
-    the date must be eight digits yyyyMMdd (H9)."""
+    the date must be eight digits yyyyMMdd (H9).
+
+    The parsed fields come out of an ``inline_outer`` step, so filters on them
+    (valid / invalid) stay above the parse instead of being rewritten into the
+    scan below it."""
     name = F.col(name_col)
-    stem = path_stem(name)
-    has_at = stem.contains("@")
-    base = F.when(has_at, F.regexp_extract(stem, r"^(.*)@[^@]*$", 1))
-    date_txt = F.when(has_at, F.substring_index(stem, "@", -1))
+    # Each step is its own projection, so every intermediate is computed once.
+    a = df.select("*", path_stem(name).alias("_stem"), path_suffix(name).alias("_ext"))
+    stem = F.col("_stem")
+    b = a.select(
+        "*",
+        stem.contains("@").alias("_has_at"),
+        F.when(stem.contains("@"), F.regexp_extract(stem, r"^(.*)@[^@]*$", 1)).alias("_base"),
+        F.when(stem.contains("@"), F.substring_index(stem, "@", -1)).alias("_date_txt"),
+    )
+    base, date_txt = F.col("_base"), F.col("_date_txt")
     has_us = base.contains("_")
-    dataset = F.when(has_us, F.substring_index(base, "_", 1)).otherwise(base)
-    partition = F.when(has_us, F.regexp_extract(base, r"^[^_]*_(.*)$", 1)).otherwise(F.lit(""))
-    date = F.when(date_txt.rlike("^[0-9]{8}$"), F.try_to_date(date_txt, "yyyyMMdd"))
-    t = df.withColumn("_p", F.struct(
-        dataset.alias("dataset"), partition.alias("partition"), date.alias("date"),
-        path_suffix(name).alias("extension"), has_at.alias("_has_at"),
-    ))
+    parsed = F.struct(
+        F.when(has_us, F.substring_index(base, "_", 1)).otherwise(base).alias("dataset"),
+        F.when(has_us, F.regexp_extract(base, r"^[^_]*_(.*)$", 1)).otherwise(F.lit("")).alias("partition"),
+        F.when(date_txt.rlike("^[0-9]{8}$"), F.try_to_date(date_txt, "yyyyMMdd")).alias("date"),
+        F.col("_ext").alias("extension"),
+        F.col("_has_at").alias("has_at"),
+    )
+    t = b.select(*df.columns, F.inline_outer(F.array(parsed)))
     out = t.select(
-        *df.columns,
-        F.col("_p.dataset").alias("dataset"),
-        F.col("_p.partition").alias("partition"),
-        F.col("_p.date").alias("date"),
-        F.col("_p.extension").alias("extension"),
-        F.when(~F.col("_p._has_at"), F.lit("missing '@' separator"))
-        .when(F.col("_p.date").isNull(), F.lit("bad date"))
+        *df.columns, "dataset", "partition", "date", "extension",
+        F.when(~F.col("has_at"), F.lit("missing '@' separator"))
+        .when(F.col("date").isNull(), F.lit("bad date"))
         .alias("reject_reason"),
     )
     return out.withColumn("valid", F.col("reject_reason").isNull())

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arquivo.functions.columns import ancestors
+from arquivo.operators.classify import with_known_ancestors
 from arquivo.operators.partition import support_local_path, with_stored_path
 from arquivo.sources import registry as reg
 
@@ -39,12 +39,9 @@ def support_files(files: DataFrame, kind: str, max_depth: int = 3) -> DataFrame:
             F.col("key"), F.regexp_replace(F.col("support_dir"), "/+$", "").alias("_sdir")
         )
     )
-    known = F.array(*[F.lit(d.rstrip("/")) for ds in dirs.values() for d in ds])
-    ex = files.withColumn("_anc", F.explode(ancestors(F.col("dir"), max_depth))).filter(
-        F.array_contains(known, F.col("_anc.ancestor"))
-    )
-    out = ex.join(sreg, F.col("_anc.ancestor") == F.col("_sdir"), "inner")
-    return out.drop("_anc", "_sdir").withColumn("type", F.lit(kind))
+    ex = with_known_ancestors(files, max_depth, [d for ds in dirs.values() for d in ds], out="_anc_dir")
+    out = ex.join(sreg, F.col("_anc_dir") == F.col("_sdir"), "inner")
+    return out.drop("_anc_dir", "_sdir", "depth").withColumn("type", F.lit(kind))
 
 
 def support_entries(files: DataFrame, kind: str, datasets: list[str] | None = None,
