@@ -19,8 +19,8 @@ TIME_RE = r"^([0-9]{1,2}):([0-9]{1,2})([AaPp][Mm])$"
 def _listing_timestamp(date_txt, time_txt):
     """strptime('%m-%d-%y %I:%M%p') as built-ins; null when it would raise."""
     dp = F.split(date_txt, "-")
-    m, d = dp[0].try_cast("int"), dp[1].try_cast("int")
-    y = listing_year(dp[2])
+    m, d = F.get(dp, 0).try_cast("int"), F.get(dp, 1).try_cast("int")
+    y = listing_year(F.get(dp, 2))
     h12 = F.regexp_extract(time_txt, TIME_RE, 1).try_cast("int")
     mi = F.regexp_extract(time_txt, TIME_RE, 2).try_cast("int")
     pm = F.upper(F.regexp_extract(time_txt, TIME_RE, 3)) == F.lit("PM")
@@ -51,10 +51,10 @@ def parse_listing(df: DataFrame, line_col: str = "line", dir_col: str = "dir") -
     tokens = F.struct(
         (F.size(parts) == 4).alias("_matched"),
         line.contains("<DIR>").alias("is_dir"),
-        parts[0].alias("_date_txt"),
-        parts[1].alias("_time_txt"),
-        parts[2].alias("size_text"),
-        parts[3].alias("filename"),
+        F.get(parts, 0).alias("_date_txt"),
+        F.get(parts, 1).alias("_time_txt"),
+        F.get(parts, 2).alias("size_text"),
+        F.get(parts, 3).alias("filename"),
     )
     t = df.select(*df0.columns, F.inline_outer(F.array(tokens)))
     matched, is_dir = F.col("_matched"), F.col("is_dir")
@@ -85,11 +85,10 @@ def listing_files(parsed: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
     ``listing_rejects``); FAILFAST raises on the first one, like the reference."""
     files = parsed.filter(~F.col("is_dir"))
     if mode.upper() == "FAILFAST":
-        return files.withColumn(
-            "parse_error",
-            F.when(F.col("parse_error").isNotNull(),
-                   F.raise_error(F.concat(F.lit("bad listing line: "), F.col("full_path")))),
-        ).drop("parse_error")
+        # The check sits in a filter so that it is evaluated on every row.
+        check = F.when(F.col("parse_error").isNotNull(),
+                       F.raise_error(F.concat(F.lit("bad listing line: "), F.col("full_path"))))
+        return files.filter(check.isNull()).drop("parse_error")
     return files.filter(F.col("parse_error").isNull()).drop("parse_error")
 
 

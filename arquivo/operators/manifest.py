@@ -31,7 +31,8 @@ def manifest(hashed: DataFrame, entries: DataFrame, path_col: str = "path",
         F.col("local_path").alias("_lp"), "url", "size", "extension", "dataset", "datetime",
         "partition", "preliminary",
     )
-    j = hashed.join(e, F.col(path_col) == F.col("_lp"), "inner")
+    h = hashed.select(F.col(path_col).alias("_hp"), "sha256", "size_bytes")
+    j = h.join(e, F.col("_hp") == F.col("_lp"), "inner")
     iso = F.date_format(F.col("datetime"), "yyyy-MM-dd'T'HH:mm:ss")
     return j.select(
         F.concat(F.lit(base_url), F.col("url")).alias("url"),
