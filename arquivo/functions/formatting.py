@@ -8,7 +8,7 @@ arithmetic: no floating point is involved.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arquivo.functions.columns import col
@@ -61,6 +61,33 @@ def fixed_point_double(x: Column | str, decimals: int) -> Column:
     return F.when(x.isNull(), F.lit(None)).otherwise(text)
 
 
+def with_fixed_point_double(df: DataFrame, src: str, decimals: int, out: str) -> DataFrame:
+    """``fixed_point_double`` as successive projections, so each intermediate
+    (exponent, mantissa, quotient, remainder) is computed once per row."""
+    scale = 10 ** decimals
+    x = F.col(src)
+    t = f"_fp_{out}"
+    df = df.withColumn(t + "k", (F.lit(53) - F.floor(F.log2(x))).cast("int"))
+    df = df.withColumn(t + "n", (x * F.pow(F.lit(2.0), F.col(t + "k"))).cast("bigint") * F.lit(scale))
+    df = df.withColumn(t + "q", F.call_function("shiftright", F.col(t + "n"), F.col(t + "k")))
+    k, n, q = F.col(t + "k"), F.col(t + "n"), F.col(t + "q")
+    r = n - F.call_function("shiftleft", q, k)
+    half = F.call_function("shiftleft", F.lit(1).cast("bigint"), k - 1)
+    up = (r > half) | ((r == half) & (F.pmod(q, F.lit(2)) == 1))
+    rounded = (
+        F.when(x * F.lit(scale) < F.lit(0.25), F.lit(0).cast("bigint"))
+        .when(x >= F.lit(float(2 ** 52)), x.cast("bigint") * F.lit(scale))
+        .otherwise(q + F.when(up, F.lit(1)).otherwise(F.lit(0)))
+    )
+    df = df.withColumn(t + "t", rounded)
+    tt = F.col(t + "t")
+    fp = F.pmod(tt, F.lit(scale))
+    text = F.concat(((tt - fp) / F.lit(scale)).cast("bigint").cast("string"), F.lit("."),
+                    F.lpad(fp.cast("string"), decimals, "0")) if decimals else tt.cast("string")
+    df = df.withColumn(out, F.when(x.isNull(), F.lit(None)).otherwise(text))
+    return df.drop(t + "k", t + "n", t + "q", t + "t")
+
+
 def rjust(text: Column, width: int) -> Column:
     """Right-align in ``width`` (never truncates)."""
     return F.format_string(f"%{width}s", text)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arquivo.functions.formatting import fixed_point, fixed_point_double, ljust, rjust
+from arquivo.functions.formatting import fixed_point, ljust, rjust, with_fixed_point_double
 
 MB_POW2 = 20
 GB_POW2 = 30
@@ -61,10 +61,13 @@ def transfer_lines(stats: DataFrame) -> DataFrame:
 
     Floats are rounded on their exact binary value, ties to even, as the
     reference prints them (Java's formatter would round half-up)."""
+    df = stats
+    for c in ("size_mb", "seconds", "rate_mbps"):
+        df = with_fixed_point_double(df, c, 2, f"_{c}_txt")
     line = F.concat(
         ljust(F.col("filename"), 40), F.lit(" "),
-        rjust(fixed_point_double("size_mb", 2), 6), F.lit(" MB "),
-        rjust(fixed_point_double("seconds", 2), 5), F.lit(" s "),
-        rjust(fixed_point_double("rate_mbps", 2), 5), F.lit(" Mb/s"),
+        rjust(F.col("_size_mb_txt"), 6), F.lit(" MB "),
+        rjust(F.col("_seconds_txt"), 5), F.lit(" s "),
+        rjust(F.col("_rate_mbps_txt"), 5), F.lit(" Mb/s"),
     )
-    return stats.select("filename", line.alias("line"))
+    return df.select("filename", line.alias("line"))

@@ -22,25 +22,12 @@ from arquivo.operators.partition import with_partition
 from arquivo.operators.slicer import Slicer
 from arquivo.sources import fixtures as fx
 from arquivo.sources import registry as reg
+from arquivo.session import spread
 
 ROOT = "/data"
 ARCHIVE_ROOT = "/archive"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-partitioned input over the cluster's cores.
-
-    Parsing and classification are CPU work per row; a small source file comes
-    in one split. When the input already has at least as many partitions as
-    the default parallelism (any large table) this is a no-op, so no shuffle is
-    added at scale."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 # --- listing ----------------------------------------------------------------
 
 def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

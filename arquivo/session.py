@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every plan in this package is written against. AQE re-plans joins
 # and coalesces small shuffle partitions at run time; skew-join splits a hot
@@ -22,6 +22,7 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
 }
 
@@ -57,11 +58,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="arquivo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    try:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+        pass
     return current
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-partitioned input over the cluster's cores.
+
+    Parsing and classification are CPU work per row, and a small source file
+    comes in one split. When the input already has at least as many
+    partitions as the default parallelism (any large table) nothing is added,
+    so at scale this costs no shuffle."""
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave as is
+        return df
+    if current < target:
+        return df.repartition(target)
+    return df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)

@@ -18,6 +18,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arquivo.session import spread
+
 REMOTE_LISTING_SQL = """\
 SELECT id, dir, name, line, mtime, size_txt FROM (
 SELECT o.*, (mm || '-' || dd || '-' || substr(yyyy, 3, 2) || '  ' || hh || ':' || mi || ap || '  ' || size_txt || ' ' || name) AS line
@@ -75,7 +77,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _view(spark: SparkSession, sf_dir: str, name: str) -> None:
-    table(spark, sf_dir, name).createOrReplaceTempView(name)
+    # The derivations are CPU work per row; spread a small (one-split) table
+    # over the cores first. A no-op for tables with enough partitions.
+    spread(table(spark, sf_dir, name)).createOrReplaceTempView(name)
 
 
 def remote_listing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,3 +31,11 @@ def test_fixed_point_double(spark):
     bad = [(v, g, e) for v, g, e in zip(vals, got, exp) if g != e]
     assert not bad, bad[:5]
     assert df.select(fixed_point_double(F.lit(None).cast("double"), 2)).first()[0] is None
+
+
+def test_staged_double_formatting(spark):
+    from arquivo.functions.formatting import with_fixed_point_double
+    vals = [0.0, 0.125, 1.015, 2.675, 3.125, 15.36, 6.55, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r.t for r in with_fixed_point_double(df, "x", 2, "t").collect()]
+    assert got == [None if v is None else format(v, ".2f") for v in vals]
