@@ -108,3 +108,26 @@ def listing_subdirs(parsed: DataFrame, dir_col: str = "dir") -> DataFrame:
 def bad_sizes(parsed: DataFrame) -> DataFrame:
     """P3 warnings: file lines whose size field is not an integer (size set to 0)."""
     return parsed.filter(F.col("size_invalid"))
+
+
+def reachable_dirs(subdirs: DataFrame, starts: DataFrame, max_depth: int = 3) -> DataFrame:
+    """F6 on parent/child listings: (start_dir, dir, depth) for every directory
+    reachable from a start directory through ``<DIR>`` entries, at most
+    ``max_depth`` levels down (the start itself has depth 0).
+
+    A bounded breadth-first walk: ``max_depth`` joins of the frontier with the
+    (parent, child) edges; the frontier is as small as the directory tree."""
+    frontier = starts.select(F.col("dir").alias("start_dir"), F.col("dir"), F.lit(0).alias("depth"))
+    out = frontier
+    edges = subdirs.select(F.col("parent").alias("_parent"), F.col("child").alias("_child"))
+    for level in range(1, max_depth + 1):
+        frontier = frontier.join(edges, F.col("dir") == F.col("_parent"), "inner").select(
+            "start_dir", F.col("_child").alias("dir"), F.lit(level).alias("depth")
+        )
+        out = out.unionByName(frontier)
+    return out
+
+
+def files_in_walk(files: DataFrame, walk: DataFrame) -> DataFrame:
+    """Files that lie in a walked directory, tagged with start_dir and depth."""
+    return files.join(walk, "dir", "inner")

@@ -48,3 +48,20 @@ def test_failfast(spark):
     assert listing_files(df).count() == 0
     with pytest.raises((Py4JJavaError, PySparkException)):
         listing_files(df, mode="FAILFAST").collect()
+
+
+def test_bounded_walk(spark):
+    from arquivo.operators.listing import files_in_walk, reachable_dirs
+    lines = [
+        ("/r", "01-01-20  10:00AM  <DIR>  a"), ("/r/a", "01-01-20  10:00AM  <DIR>  b"),
+        ("/r/a/b", "01-01-20  10:00AM  <DIR>  c"), ("/r/a/b/c", "01-01-20  10:00AM  <DIR>  d"),
+        ("/r/a/b/c", "01-01-20  10:00AM  3 f3.dbc"), ("/r/a/b/c/d", "01-01-20  10:00AM  4 f4.dbc"),
+        ("/r", "01-01-20  10:00AM  0 f0.dbc"),
+    ]
+    parsed = parse_listing(spark.createDataFrame(lines, "dir string, line string"))
+    starts = spark.createDataFrame([("/r",)], "dir string")
+    walk = reachable_dirs(listing_subdirs(parsed), starts, 3)
+    assert sorted((r.dir, r.depth) for r in walk.collect()) == [
+        ("/r", 0), ("/r/a", 1), ("/r/a/b", 2), ("/r/a/b/c", 3)]
+    got = sorted((r.filename, r.depth) for r in files_in_walk(listing_files(parsed), walk).collect())
+    assert got == [("f0.dbc", 0), ("f3.dbc", 3)]       # f4 lies four levels down
