@@ -215,17 +215,21 @@ def q_sync_batches(spark, sf):
     return SY.sync_batches(plan(spark, sf))
 
 
-def failed_predicate():
-    """Failed transfers of the fixture: every eleventh listing id."""
-    return F.col("id") % 11 == 0
+def failed_transfers(spark, sf):
+    """Failed transfers of the fixture: planned files whose local copy is
+    present but short (a transfer that stopped before the end)."""
+    e = entries(spark, sf)
+    loc = local_copy(spark, sf).select(F.col("path").alias("_lp"), F.col("size").alias("_ls"))
+    short = e.join(loc, (F.col("local_path") == F.col("_lp")) & (F.col("size") != F.col("_ls")), "left_semi")
+    return short.select("url")
 
 
 def q_failed_files_report(spark, sf):
-    return SY.failed_files(plan(spark, sf), predicate=failed_predicate())
+    return SY.failed_files(plan(spark, sf), failed=failed_transfers(spark, sf))
 
 
 def q_failed_files_total(spark, sf):
-    return SY.failed_total(SY.failed_files(plan(spark, sf), predicate=failed_predicate()))
+    return SY.failed_total(SY.failed_files(plan(spark, sf), failed=failed_transfers(spark, sf)))
 
 
 SUPPORT_COLS = ["id", "type", "dataset", "url", "size", "local_path"]

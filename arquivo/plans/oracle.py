@@ -315,10 +315,12 @@ def oracles() -> dict[str, str]:
         "SELECT dataset, count(*) AS n_pending, CAST(sum(COALESCE(size, 0)) AS BIGINT) AS pending_bytes "
         "FROM plan GROUP BY dataset"))
     o["failed_files_report"] = _with(_local_copy_cte(), _plan_cte(), select=(
-        "SELECT url, dataset, size FROM plan WHERE id % 11 = 0 ORDER BY url"))
+        "SELECT url, dataset, size FROM plan p WHERE url IN (SELECT e.url FROM entries e WHERE EXISTS "
+        "(SELECT 1 FROM local_copy c WHERE c.path = e.local_path AND c.size <> e.size)) ORDER BY url"))
     o["failed_files_total"] = _with(_local_copy_cte(), _plan_cte(), select=(
         "SELECT count(*) AS n_failed, CAST(COALESCE(sum(size), 0) AS BIGINT) AS failed_bytes "
-        "FROM plan WHERE id % 11 = 0"))
+        "FROM plan p WHERE url IN (SELECT e.url FROM entries e WHERE EXISTS "
+        "(SELECT 1 FROM local_copy c WHERE c.path = e.local_path AND c.size <> e.size))"))
     o["support_files"] = _with(*_support_ctes("dataset"), select=(
         "SELECT id, type, dataset, url, size, local_path FROM support"))
     o["support_files_by_group"] = _with(*_support_ctes("group"), select=(
