@@ -63,17 +63,24 @@ def normalized_dir(dir_: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(col(dir_), "/+", "/"), "(.)/$", "$1")
 
 
-def ancestors_from_parts(parts: Column, max_depth: int = 3) -> Column:
-    """Array of struct(ancestor, depth) from the split path ``parts``: the
-    directory itself (depth 0) and its parents up to ``max_depth`` levels;
-    entries beyond the root are null. Fixed arity, so it stays in generated
-    code; ``parts`` should be a column so the split is done once."""
-    n = F.size(parts)
-    items = []
-    for i in range(max_depth + 1):
-        anc = F.array_join(F.slice(parts, F.lit(1), F.greatest(n - i, F.lit(1))), "/")
-        items.append(F.when(n - i >= 1, F.struct(anc.alias("ancestor"), F.lit(i).alias("depth"))))
-    return F.array(*items)
+def ancestors_from_parts(parts: Column | str, max_depth: int = 3) -> Column:
+    """Array of struct(ancestor, depth) from the split path ``parts`` (a column
+    name): the directory itself (depth 0) and its parents up to ``max_depth``
+    levels; entries beyond the root are null. Fixed arity, so it stays in
+    generated code; ``parts`` should be a column so the split is done once."""
+    if not isinstance(parts, str):
+        n = F.size(parts)
+        items = []
+        for i in range(max_depth + 1):
+            anc = F.array_join(F.slice(parts, F.lit(1), F.greatest(n - i, F.lit(1))), "/")
+            items.append(F.when(n - i >= 1, F.struct(anc.alias("ancestor"), F.lit(i).alias("depth"))))
+        return F.array(*items)
+    items = [
+        f"CASE WHEN size({parts}) - {i} >= 1 THEN named_struct('ancestor', "
+        f"array_join(slice({parts}, 1, greatest(size({parts}) - {i}, 1)), '/'), 'depth', {i}) END"
+        for i in range(max_depth + 1)
+    ]
+    return F.expr("array(" + ", ".join(items) + ")")
 
 
 def ancestors(dir_: Column | str, max_depth: int = 3) -> Column:

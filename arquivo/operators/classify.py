@@ -49,48 +49,51 @@ _UF_LOWER = [c.lower() for c in reg.UF_CODES]
 _MONTHS = [f"{m:02d}" for m in range(1, 13)]
 
 
-def _tail(stem: Column, off: int, length: int) -> Column:
-    return F.substring(stem, F.length(stem) - F.lit(off - 1), F.lit(length))
+def _sql_list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-def _shape_test(shape: str, stem: Column) -> Column:
+def _tail_sql(stem: str, off: int, length: int) -> str:
+    return f"substring({stem}, length({stem}) - {off - 1}, {length})"
+
+
+def _century_sql(yy: str) -> str:
+    return f"(CASE WHEN substring({yy}, 1, 1) IN ('7', '8', '9') THEN 1900 ELSE 2000 END + try_cast({yy} AS INT))"
+
+
+def _shape_test_sql(shape: str, stem: str) -> str:
     spec = _SHAPES[shape]
     f = spec["f"]
-    cond = F.length(stem) >= F.lit(spec["n"])
+    cond = [f"length({stem}) >= {spec['n']}"]
     if "uf" in f:
-        cond = cond & _tail(stem, *f["uf"]).isin(*_UF_LOWER)
+        cond.append(f"{_tail_sql(stem, *f['uf'])} IN ({_sql_list(_UF_LOWER)})")
     if "yy" in f:
-        cond = cond & _tail(stem, *f["yy"]).rlike("^[0-9]{2}$")
+        cond.append(f"{_tail_sql(stem, *f['yy'])} RLIKE '^[0-9]{{2}}$'")
     if "yyyy" in f:
-        cond = cond & _tail(stem, *f["yyyy"]).rlike("^[0-9]{4}$")
+        cond.append(f"{_tail_sql(stem, *f['yyyy'])} RLIKE '^[0-9]{{4}}$'")
     if "month" in f:
-        cond = cond & _tail(stem, *f["month"]).isin(*_MONTHS)
+        cond.append(f"{_tail_sql(stem, *f['month'])} IN ({_sql_list(_MONTHS)})")
     if "lit" in spec:
         off, text = spec["lit"]
-        cond = cond & (_tail(stem, off, len(text)) == F.lit(text))
-    return cond
+        cond.append(f"{_tail_sql(stem, off, len(text))} = '{text}'")
+    return " AND ".join(cond)
 
 
-def _fixed_candidate(shape: str, stem: Column, matched: Column, version: Column | None = None) -> Column:
+def _candidate_sql(shape: str, stem: str, matched: str, version: str | None = None,
+                   label: str | None = None) -> str:
     spec = _SHAPES[shape]
     f = spec["f"]
-    uf = _tail(stem, *f["uf"]) if "uf" in f else F.lit(None).cast("string")
+    uf = _tail_sql(stem, *f["uf"]) if "uf" in f else "CAST(NULL AS STRING)"
     if "yy" in f:
-        year = century_year(_tail(stem, *f["yy"]))
+        year = _century_sql(_tail_sql(stem, *f["yy"]))
     elif "yyyy" in f:
-        year = _tail(stem, *f["yyyy"]).cast("int")
+        year = f"CAST({_tail_sql(stem, *f['yyyy'])} AS INT)"
     else:
-        year = F.lit(None).cast("int")
-    month = _tail(stem, *f["month"]).cast("int") if "month" in f else F.lit(None).cast("int")
-    prefix = F.substring(stem, F.lit(1), F.length(stem) - F.lit(spec["n"]))
-    return F.when(
-        matched,
-        F.struct(
-            F.lit(shape if version is None else "uf_year2_month_sia_pa").alias("shape"),
-            prefix.alias("prefix"), uf.alias("uf"), year.alias("year"), month.alias("month"),
-            (version if version is not None else F.lit(None).cast("string")).alias("version"),
-        ),
-    )
+        year = "CAST(NULL AS INT)"
+    month = f"CAST({_tail_sql(stem, *f['month'])} AS INT)" if "month" in f else "CAST(NULL AS INT)"
+    prefix = f"substring({stem}, 1, length({stem}) - {spec['n']})"
+    return (f"CASE WHEN {matched} THEN named_struct('shape', '{label or shape}', 'prefix', {prefix}, "
+            f"'uf', {uf}, 'year', {year}, 'month', {month}, 'version', {version or 'CAST(NULL AS STRING)'}) END")
 
 
 def _candidates(df: DataFrame, shapes: list[str]) -> DataFrame:
@@ -98,41 +101,32 @@ def _candidates(df: DataFrame, shapes: list[str]) -> DataFrame:
     (null when the stem does not end in that shape).
 
     Staged in separate projections so that the stem and each shape test are
-    computed once per row (keeps the generated code small).
-    """
-    stem = F.col("_stem")
+    computed once per row (keeps the generated code small). The expressions
+    are written as SQL text: one call builds each, however many nodes."""
     sia = "uf_year2_month_sia_pa" in shapes
     if sia:
-        df = df.withColumn(
-            "_core",
-            F.when(F.substring(stem, -1, 1).between("a", "z") & (F.length(stem) > 0),
-                   F.expr("substring(_stem, 1, length(_stem) - 1)")).otherwise(stem),
-        )
+        df = df.withColumn("_core", F.expr(
+            "CASE WHEN substring(_stem, -1, 1) BETWEEN 'a' AND 'z' AND length(_stem) > 0 "
+            "THEN substring(_stem, 1, length(_stem) - 1) ELSE _stem END"))
     tests = {}
     for s in shapes:
         if s == "any":
             continue
-        if s == "uf_year2_month_sia_pa":
-            tests[s] = _shape_test("uf_year2_month", F.col("_core"))
-        else:
-            tests[s] = _shape_test(s, stem)
-    df = df.select("*", *[t.alias(f"_m_{s}") for s, t in tests.items()])
+        tests[s] = _shape_test_sql("uf_year2_month", "_core") if s == "uf_year2_month_sia_pa" \
+            else _shape_test_sql(s, "_stem")
+    df = df.select("*", *[F.expr(t).alias(f"_m_{s}") for s, t in tests.items()])
     cands = []
     for s in shapes:
         if s == "any":
-            cands.append(F.struct(
-                F.lit("any").alias("shape"), F.lit("").alias("prefix"),
-                F.lit(None).cast("string").alias("uf"), F.lit(None).cast("int").alias("year"),
-                F.lit(None).cast("int").alias("month"), stem.alias("version"),
-            ))
+            cands.append("named_struct('shape', 'any', 'prefix', '', 'uf', CAST(NULL AS STRING), "
+                         "'year', CAST(NULL AS INT), 'month', CAST(NULL AS INT), 'version', _stem)")
         elif s == "uf_year2_month_sia_pa":
-            core = F.col("_core")
-            version = F.when(F.length(core) < F.length(stem), F.substring(stem, -1, 1)).otherwise(F.lit(""))
-            cands.append(_fixed_candidate("uf_year2_month", core, F.col(f"_m_{s}"), version))
+            version = "CASE WHEN length(_core) < length(_stem) THEN substring(_stem, -1, 1) ELSE '' END"
+            cands.append(_candidate_sql("uf_year2_month", "_core", f"_m_{s}", version, label=s))
         else:
-            cands.append(_fixed_candidate(s, stem, F.col(f"_m_{s}")))
+            cands.append(_candidate_sql(s, "_stem", f"_m_{s}"))
     drop = [f"_m_{s}" for s in tests] + (["_core"] if sia else [])
-    return df.withColumn("_cands", F.array(*cands)).drop(*drop)
+    return df.withColumn("_cands", F.expr("array(" + ", ".join(cands) + ")")).drop(*drop)
 
 
 def registry_shapes() -> list[str]:
@@ -154,9 +148,9 @@ def with_known_ancestors(files: DataFrame, max_depth: int, dirs: list[str],
     the optimizer from inferring a ``size(array) > 0`` filter and pushing it,
     with the array expression inlined, below a repartition; the null rows it
     yields are dropped by the known-directory filter."""
-    known = F.array(*[F.lit(d) for d in sorted({_norm(d) for d in dirs})])
+    known = F.expr("array(" + _sql_list(sorted({_norm(d) for d in dirs})) + ")")
     staged = files.withColumn("_dparts", F.split(normalized_dir(F.col("dir")), "/")).withColumn(
-        "_ancs", ancestors_from_parts(F.col("_dparts"), max_depth)
+        "_ancs", ancestors_from_parts("_dparts", max_depth)
     )
     exploded = staged.withColumn("_anc", F.explode_outer("_ancs"))
     return exploded.filter(F.array_contains(known, F.col("_anc.ancestor"))).select(

@@ -9,24 +9,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arquivo.functions.columns import extension_of, listing_year
 
 # date, time, size-or-<DIR>, rest of the line
 DATE_RE = r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})$"
 TIME_RE = r"^([0-9]{1,2}):([0-9]{1,2})([AaPp][Mm])$"
 
 
-def _listing_timestamp(date_txt, time_txt):
-    """strptime('%m-%d-%y %I:%M%p') as built-ins; null when it would raise."""
-    dp = F.split(date_txt, "-")
-    m, d = F.get(dp, 0).try_cast("int"), F.get(dp, 1).try_cast("int")
-    y = listing_year(F.get(dp, 2))
-    h12 = F.regexp_extract(time_txt, TIME_RE, 1).try_cast("int")
-    mi = F.regexp_extract(time_txt, TIME_RE, 2).try_cast("int")
-    pm = F.upper(F.regexp_extract(time_txt, TIME_RE, 3)) == F.lit("PM")
-    h24 = (h12 % 12) + F.when(pm, F.lit(12)).otherwise(F.lit(0))
-    ok = date_txt.rlike(DATE_RE) & time_txt.rlike(TIME_RE) & h12.between(1, 12) & mi.between(0, 59)
-    return F.when(ok, F.try_make_timestamp_ntz(y, m, d, h24, mi, F.lit(0)))
+def _listing_timestamp_sql(date_txt: str, time_txt: str) -> str:
+    """strptime('%m-%d-%y %I:%M%p') as SQL built-ins; null when it would raise.
+    Two-digit years pivot like strptime: 69-99 -> 19yy, 00-68 -> 20yy (H2)."""
+    d = f"split({date_txt}, '-')"
+    yy = f"try_cast(get({d}, 2) AS INT)"
+    h12 = f"try_cast(regexp_extract({time_txt}, '{TIME_RE}', 1) AS INT)"
+    mi = f"try_cast(regexp_extract({time_txt}, '{TIME_RE}', 2) AS INT)"
+    pm = f"upper(regexp_extract({time_txt}, '{TIME_RE}', 3)) = 'PM'"
+    return (
+        f"CASE WHEN {date_txt} RLIKE '{DATE_RE}' AND {time_txt} RLIKE '{TIME_RE}' "
+        f"AND {h12} BETWEEN 1 AND 12 AND {mi} BETWEEN 0 AND 59 THEN try_make_timestamp_ntz("
+        f"CASE WHEN {yy} >= 69 THEN {yy} + 1900 ELSE {yy} + 2000 END, "
+        f"try_cast(get({d}, 0) AS INT), try_cast(get({d}, 1) AS INT), "
+        f"{h12} % 12 + CASE WHEN {pm} THEN 12 ELSE 0 END, {mi}, 0) END"
+    )
 
 
 def parse_listing(df: DataFrame, line_col: str = "line", dir_col: str = "dir") -> DataFrame:
@@ -41,42 +44,36 @@ def parse_listing(df: DataFrame, line_col: str = "line", dir_col: str = "dir") -
     copies of the whole parse expression below it. The outer form is used so
     that the optimizer infers no ``size(...) > 0`` filter, which it would push
     (with the whole parse inlined) below any repartition of the input.
+    Expressions are SQL text so that each is built in one call.
     """
-    line = F.col(line_col)
+    cols = list(df.columns)
     # Leading blanks dropped, then at most four fields; the last keeps its blanks.
     # The split is its own projection so it runs once per line.
-    df0 = df
-    df = df.withColumn("_parts", F.split(F.regexp_replace(line, r"^\s+", ""), r"\s+", 4))
-    parts = F.col("_parts")
-    tokens = F.struct(
-        (F.size(parts) == 4).alias("_matched"),
-        line.contains("<DIR>").alias("is_dir"),
-        F.get(parts, 0).alias("_date_txt"),
-        F.get(parts, 1).alias("_time_txt"),
-        F.get(parts, 2).alias("size_text"),
-        F.get(parts, 3).alias("filename"),
+    staged = df.withColumn("_parts", F.expr(f"split(regexp_replace(`{line_col}`, '^\\\\s+', ''), '\\\\s+', 4)"))
+    tokens = F.expr(
+        f"array(named_struct('_matched', size(_parts) = 4, 'is_dir', contains(`{line_col}`, '<DIR>'), "
+        "'_date_txt', get(_parts, 0), '_time_txt', get(_parts, 1), "
+        "'size_text', get(_parts, 2), 'filename', get(_parts, 3)))"
     )
-    t = df.select(*df0.columns, F.inline_outer(F.array(tokens)))
-    matched, is_dir = F.col("_matched"), F.col("is_dir")
-    size_num = F.col("size_text").try_cast("bigint")
+    t = staged.select(*cols, F.inline_outer(tokens))
     out = t.select(
-        *df0.columns,
-        F.when(matched, F.col("filename")).alias("filename"),
-        is_dir,
-        _listing_timestamp(F.col("_date_txt"), F.col("_time_txt")).alias("datetime"),
-        F.when(is_dir, F.lit(None).cast("bigint"))
-        .otherwise(F.coalesce(size_num, F.lit(0).cast("bigint"))).alias("size"),
-        (~is_dir & matched & size_num.isNull()).alias("size_invalid"),
-        F.when(matched, F.col("size_text")).alias("size_text"),
-        matched.alias("_matched"),
+        *cols,
+        F.expr("CASE WHEN _matched THEN filename END").alias("filename"),
+        "is_dir",
+        F.expr(_listing_timestamp_sql("_date_txt", "_time_txt")).alias("datetime"),
+        F.expr("CASE WHEN is_dir THEN CAST(NULL AS BIGINT) "
+               "ELSE coalesce(try_cast(size_text AS BIGINT), CAST(0 AS BIGINT)) END").alias("size"),
+        F.expr("NOT is_dir AND _matched AND try_cast(size_text AS BIGINT) IS NULL").alias("size_invalid"),
+        F.expr("CASE WHEN _matched THEN size_text END").alias("size_text"),
+        "_matched",
     )
     return out.select(
         *[c for c in out.columns if c != "_matched"],
-        F.when(~is_dir, extension_of(F.col("filename"))).alias("extension"),
-        F.concat(F.col(dir_col), F.lit("/"), F.col("filename")).alias("full_path"),
-        F.when(~F.col("_matched"), F.lit("line has fewer than four fields"))
-        .when(~is_dir & F.col("datetime").isNull(), F.lit("bad date or time"))
-        .alias("parse_error"),
+        F.expr("CASE WHEN NOT is_dir AND contains(filename, '.') "
+               "THEN lower(substring_index(filename, '.', -1)) END").alias("extension"),
+        F.expr(f"concat(`{dir_col}`, '/', filename)").alias("full_path"),
+        F.expr("CASE WHEN NOT _matched THEN 'line has fewer than four fields' "
+               "WHEN NOT is_dir AND datetime IS NULL THEN 'bad date or time' END").alias("parse_error"),
     )
 
 

@@ -80,6 +80,10 @@ def spread(df: DataFrame) -> DataFrame:
     so at scale this costs no shuffle."""
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
+        # A plan that already shuffles is spread by its exchange; asking such a
+        # plan for its RDD would make adaptive execution run the shuffle now.
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave as is
         return df

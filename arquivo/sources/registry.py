@@ -421,13 +421,27 @@ PERIOD_SCHEMA = T.StructType(
 )
 
 
+_FRAMES: dict[tuple[int, str], DataFrame] = {}
+
+
+def _memo(spark: SparkSession, key: str, build) -> DataFrame:
+    """Registry frames are fixed: build each once per session (parsing the
+    VALUES text costs a few hundred milliseconds of planning)."""
+    k = (id(spark), key)
+    df = _FRAMES.get(k)
+    if df is None or df.sparkSession is not spark:
+        df = build()
+        _FRAMES[k] = df
+    return df
+
+
 def _ddl(schema: T.StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
 
 def registry(spark: SparkSession) -> DataFrame:
     """One row per (dataset, period); 175 rows, a local relation."""
-    return local_table(spark, period_rows(), _ddl(PERIOD_SCHEMA))
+    return _memo(spark, "periods", lambda: local_table(spark, period_rows(), _ddl(PERIOD_SCHEMA)))
 
 
 def datasets(spark: SparkSession) -> DataFrame:
@@ -438,14 +452,15 @@ def datasets(spark: SparkSession) -> DataFrame:
     ]
     schema = [("dataset", "string"), ("dataset_name", "string"), ("group", "string"),
               ("partition_fields", "array<string>"), ("granularity", "string")]
-    return local_table(spark, rows, schema)
+    return _memo(spark, "datasets", lambda: local_table(spark, rows, schema))
 
 
 def support_registry(spark: SparkSession, kind: str | None = None) -> DataFrame:
     """S3: (type, key, support_dir) for documentation ('doc') and auxiliary ('aux')."""
     rows = [("doc", k, d) for k, dirs in DOCS.items() for d in dirs]
     rows += [("aux", k, d) for k, dirs in AUXILIARY.items() for d in dirs]
-    df = local_table(spark, rows, [("type", "string"), ("key", "string"), ("support_dir", "string")])
+    df = _memo(spark, "support",
+               lambda: local_table(spark, rows, [("type", "string"), ("key", "string"), ("support_dir", "string")]))
     if kind is not None:
         df = df.filter(F.col("type") == kind)
     return df
@@ -453,7 +468,8 @@ def support_registry(spark: SparkSession, kind: str | None = None) -> DataFrame:
 
 def groups(spark: SparkSession) -> DataFrame:
     """Group key and display name (16 rows)."""
-    return local_table(spark, list(GROUPS.items()), [("group", "string"), ("group_name", "string")])
+    return _memo(spark, "groups",
+                 lambda: local_table(spark, list(GROUPS.items()), [("group", "string"), ("group_name", "string")]))
 
 
 def uf_codes(spark: SparkSession) -> DataFrame:
