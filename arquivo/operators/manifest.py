@@ -21,18 +21,19 @@ def hash_contents(binary: DataFrame, content_col: str = "content") -> DataFrame:
 
 
 def manifest(hashed: DataFrame, entries: DataFrame, path_col: str = "path",
-             base_url: str = "") -> DataFrame:
-    """K3 + J5: join hashed stored files to their catalog entries by stored path.
+             base_url: str = "", entry_key: str = "local_path") -> DataFrame:
+    """K3 + J5: join hashed stored files to their catalog entries, by stored
+    path by default (``path_col`` = ``entry_key``).
 
     Output: url, size, filepath, suffix, dataset, created_at, sha256,
     size_bytes, partition, preliminary, remote_datetime (ISO text), and the
     nested ``metadata`` struct of the manifest record."""
     e = entries.select(
-        F.col("local_path").alias("_lp"), "url", "size", "extension", "dataset", "datetime",
-        "partition", "preliminary",
+        F.col(entry_key).alias("_ek"), F.col("local_path").alias("_lp"), "url", "size", "extension",
+        "dataset", "datetime", "partition", "preliminary",
     )
-    h = hashed.select(F.col(path_col).alias("_hp"), "sha256", "size_bytes")
-    j = h.join(e, F.col("_hp") == F.col("_lp"), "inner")
+    h = hashed.select(F.col(path_col).alias("_hk"), "sha256", "size_bytes")
+    j = h.join(e, F.col("_hk") == F.col("_ek"), "inner")
     iso = F.date_format(F.col("datetime"), "yyyy-MM-dd'T'HH:mm:ss")
     return j.select(
         F.concat(F.lit(base_url), F.col("url")).alias("url"),

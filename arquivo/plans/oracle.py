@@ -315,12 +315,11 @@ def oracles() -> dict[str, str]:
         "SELECT dataset, count(*) AS n_pending, CAST(sum(COALESCE(size, 0)) AS BIGINT) AS pending_bytes "
         "FROM plan GROUP BY dataset"))
     o["failed_files_report"] = _with(_local_copy_cte(), _plan_cte(), select=(
-        "SELECT url, dataset, size FROM plan p WHERE url IN (SELECT e.url FROM entries e WHERE EXISTS "
-        "(SELECT 1 FROM local_copy c WHERE c.path = e.local_path AND c.size <> e.size)) ORDER BY url"))
+        "SELECT url, dataset, size FROM plan p WHERE EXISTS "
+        "(SELECT 1 FROM local_copy c WHERE c.path = p.local_path) ORDER BY url"))
     o["failed_files_total"] = _with(_local_copy_cte(), _plan_cte(), select=(
         "SELECT count(*) AS n_failed, CAST(COALESCE(sum(size), 0) AS BIGINT) AS failed_bytes "
-        "FROM plan p WHERE url IN (SELECT e.url FROM entries e WHERE EXISTS "
-        "(SELECT 1 FROM local_copy c WHERE c.path = e.local_path AND c.size <> e.size))"))
+        "FROM plan p WHERE EXISTS (SELECT 1 FROM local_copy c WHERE c.path = p.local_path)"))
     o["support_files"] = _with(*_support_ctes("dataset"), select=(
         "SELECT id, type, dataset, url, size, local_path FROM support"))
     o["support_files_by_group"] = _with(*_support_ctes("group"), select=(
@@ -342,12 +341,12 @@ def oracles() -> dict[str, str]:
         "dataset, partition, size FROM store_flagged WHERE NOT is_most_recent "
         "AND split_part(dir, '/', 1) NOT IN ('_documentacao', '_auxiliar')")
     o["manifest"] = _with(
-        "hashed AS (SELECT e.local_path AS path, sha256(d.text) AS sha256, "
-        "CAST(octet_length(encode(d.text)) AS BIGINT) AS size_bytes FROM documents d JOIN entries e ON e.id = d.doc_id)",
+        "hashed AS (SELECT doc_id, sha256(text) AS sha256, "
+        "CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes FROM documents)",
         select=(
             "SELECT e.url, e.size, e.local_path AS filepath, e.extension AS suffix, e.dataset, h.sha256, h.size_bytes, "
             "e.partition, e.preliminary, strftime(e.ts, '%Y-%m-%dT%H:%M:%S') AS remote_datetime "
-            "FROM hashed h JOIN entries e ON h.path = e.local_path"))
+            "FROM hashed h JOIN entries e ON h.doc_id = e.id"))
     o["transfer_stats"] = _events("SELECT filename, dataset, size, seconds, size_mb, rate_mbps FROM tstats")
     o["transfer_totals"] = _events(
         "SELECT dataset, count(*) AS n_files, CAST(sum(size) AS BIGINT) AS total_bytes, "
