@@ -148,12 +148,13 @@ def with_known_ancestors(files: DataFrame, max_depth: int, dirs: list[str],
     the optimizer from inferring a ``size(array) > 0`` filter and pushing it,
     with the array expression inlined, below a repartition; the null rows it
     yields are dropped by the known-directory filter."""
-    known = F.expr("array(" + _sql_list(sorted({_norm(d) for d in dirs})) + ")")
+    # An IN list of this size is planned as a hash-set lookup (InSet).
+    known = F.expr("_anc.ancestor IN (" + _sql_list(sorted({_norm(d) for d in dirs})) + ")")
     staged = files.withColumn("_dparts", F.split(normalized_dir(F.col("dir")), "/")).withColumn(
         "_ancs", ancestors_from_parts("_dparts", max_depth)
     )
     exploded = staged.withColumn("_anc", F.explode_outer("_ancs"))
-    return exploded.filter(F.array_contains(known, F.col("_anc.ancestor"))).select(
+    return exploded.filter(F.coalesce(known, F.lit(False))).select(
         "*", F.col("_anc.ancestor").alias(out), F.col("_anc.depth").alias("depth")
     ).drop("_anc", "_ancs", "_dparts")
 
