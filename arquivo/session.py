@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,6 +93,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back: the lineage is cut (a lost executor does not recompute the
+    upstream plan) and several consumers read the table instead of each
+    recomputing it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
