@@ -48,10 +48,11 @@ def parse_listing(df: DataFrame, line_col: str = "line", dir_col: str = "dir") -
     """
     cols = list(df.columns)
     # Leading blanks dropped, then at most four fields; the last keeps its blanks.
+    # A line whose fourth field would be blanks only has three fields.
     # The split is its own projection so it runs once per line.
     staged = df.withColumn("_parts", F.expr(f"split(regexp_replace(`{line_col}`, '^\\\\s+', ''), '\\\\s+', 4)"))
     tokens = F.expr(
-        f"array(named_struct('_matched', size(_parts) = 4, 'is_dir', contains(`{line_col}`, '<DIR>'), "
+        f"array(named_struct('_matched', size(_parts) = 4 AND get(_parts, 3) <> '', 'is_dir', contains(`{line_col}`, '<DIR>'), "
         "'_date_txt', get(_parts, 0), '_time_txt', get(_parts, 1), "
         "'size_text', get(_parts, 2), 'filename', get(_parts, 3)))"
     )

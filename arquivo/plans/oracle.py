@@ -12,7 +12,7 @@ from arquivo.plans import catalog as P
 from arquivo.sources import fixtures as fx
 from arquivo.sources import registry as reg
 
-LINE_RE = r"^\s*(\S+)\s+(\S+)\s+(\S+)\s+(.*)$"
+LINE_RE = r"^\s*(\S+)\s+(\S+)\s+(\S+)\s+(\S.*)$"
 
 
 def _q(s: str) -> str:
