@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arquivo.functions.columns import join_path, path_stem, path_suffix
+from arquivo.session import checkpoint_dir
 
 GROUP_KEYS = ("dir", "partition")
 
@@ -89,10 +90,18 @@ def version_positions(files: DataFrame, keys: tuple[str, ...] = GROUP_KEYS, name
     Rows are range-partitioned on (keys, name), so a hot group spans several
     tasks. Each task numbers its slice of a group; the offset of a slice is
     the sum of the sizes of the earlier slices (a table with at most one row
-    per group and task)."""
+    per group and task). The slice assignment is checkpointed (reliable
+    checkpoint in ``spark.checkpoint.dir``) so that it is fixed."""
     spark = files.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = files.repartitionByRange(n, *keys, name_col).withColumn("_pid", F.spark_partition_id())
+    # The slice of each row is read by two branches (numbering and offsets).
+    # Range bounds come from sampling, and the sample depends on the order in
+    # which shuffled rows arrive, so each branch could draw other bounds: the
+    # assignment is checkpointed once to the shared folder and both read it.
+    checkpoint_dir(spark)
+    ranged = files.repartitionByRange(n, *keys, name_col).withColumn(
+        "_pid", F.spark_partition_id()
+    ).checkpoint(eager=True)
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(name_col))
     )

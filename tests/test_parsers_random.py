@@ -78,3 +78,31 @@ def test_store_names(spark):
            for r in parse_store_names(df).filter("valid").collect()}
     exp = {n: v for n in names if (v := _py_store(n)) is not None}
     assert got == exp
+
+
+def test_most_recent_against_grouping(spark):
+    from collections import defaultdict
+
+    from arquivo.operators.store import most_recent, valid_store_files, version_positions
+    rnd = random.Random(9)
+    rows = set()
+    for _ in range(3000):
+        d = rnd.choice(["sih-rd/202001", "sih-rd/202002", "sia-pa/200801"])
+        ds = rnd.choice(["sih-rd", "sih-rd-preliminar", "sia-pa"])
+        part = rnd.choice(["202001-sp", "202001-rj", "200801-sp-a", ""])
+        stamp = f"20{rnd.randint(20, 27)}{rnd.randint(1, 12):02d}{rnd.randint(1, 28):02d}"
+        name = f"{ds}{'_' + part if part else ''}@{stamp}.dbc"
+        rows.add((d, name))
+    rows = sorted(rows)
+    df = spark.createDataFrame([(d, n, 1) for d, n in rows], "dir string, name string, size bigint")
+    v = valid_store_files(parse_store_names(df))
+    got = {(r.dir, r.name): r.is_most_recent for r in most_recent(v).collect()}
+    pos = {(r.dir, r.name): (r.position, r.n) for r in version_positions(v, num_partitions=5).collect()}
+    groups = defaultdict(list)
+    for d, n in rows:
+        groups[(d, _py_store(n)[1])].append(n)
+    for (d, _), names in groups.items():
+        names.sort()
+        for k, n in enumerate(names, 1):
+            assert got[(d, n)] is (k == len(names))
+            assert pos[(d, n)] == (k, len(names))
