@@ -35,5 +35,8 @@ def test_classification_is_narrow(plans):
     assert len(re.findall(r"Exchange hashpartitioning", p)) == 0
 
 
-def test_positions_use_range_partitioning(plans):
-    assert "rangepartitioning" in plans["version_positions"]
+def test_positions_window_is_per_slice(plans):
+    # the numbering window is partitioned by the range slice, never by the
+    # group keys alone (the range exchange itself runs in the checkpoint)
+    p = plans["version_positions"]
+    assert re.search(r"Window \[row_number\(\).*windowspecdefinition\(_pid#\d+", p)
