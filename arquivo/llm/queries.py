@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from arquivo.llm import simhash
+from arquivo.llm import lines, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op5_line_dedup": lines.op5_line_dedup,
 }
 
 ORACLES: dict[str, str] = {}
