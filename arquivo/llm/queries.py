@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from arquivo.llm import lines, simhash
+from arquivo.llm import decontam, lines, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op4_decontam": decontam.op4_decontam,
     "op5_line_dedup": lines.op5_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_decontam": decontam.ORACLE,
+}
