@@ -142,11 +142,12 @@ def _turned(x: str) -> str:
     return f"(shiftleft({x}, 32) | shiftrightunsigned({x}, 32))"
 
 
-def links(prints: DataFrame, max_bits: int = 3, node_rows: int = 8192) -> DataFrame:
+def links(prints: DataFrame, max_bits: int = 3, node_rows: int = 16384) -> DataFrame:
     """(a, b) links between distinct fingerprints (column ``fp``) whose components are
     those of all pairs within ``max_bits``. ``prints`` has each fingerprint once."""
     rows = prints.count()
-    depth = common.bits_for(rows, max(1, node_rows // 4), 2, FIRST - STEP)
+    # A node also holds visitors, about half as many times its own as it has levels above.
+    depth = common.bits_for(rows, max(1, node_rows // 16), 2, FIRST - STEP)
     half = _half(max_bits)
     both = prints.select(F.explode(F.expr(f"array(struct(0 AS turn, fp AS x), struct(1 AS turn, {_turned('fp')} AS x))")).alias("s")).select("s.*")
     top = f"shiftrightunsigned(x, {64 - depth})"
@@ -204,7 +205,7 @@ def _walk(item: DataFrame, depth: int, max_bits: int) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                   max_bits: int = 3, node_rows: int = 8192) -> DataFrame:
+                   max_bits: int = 3, node_rows: int = 16384) -> DataFrame:
     """One row per input row: id, ``fp`` (signed long), ``component`` (the smallest id of
     all rows linked to it, directly or through others).
 
