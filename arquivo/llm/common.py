@@ -62,7 +62,7 @@ def join_counted(left: DataFrame, right: DataFrame, on, how: str, rows: int) ->
 
 def word_array(text: str) -> str:
     """SQL for the array of words ``[^\\x20\\x09-\\x0D]+`` of a text column; null: none."""
-    trimmed = f"trim(BOTH ' \\t\\n\\u000B\\f\\r' FROM coalesce({text}, ''))"
+    trimmed = f"trim(BOTH ' \\t\\n\\u000B\\u000C\\r' FROM coalesce({text}, ''))"
     return f"CASE WHEN {trimmed} = '' THEN array() ELSE split({trimmed}, '[\\\\x20\\\\x09-\\\\x0D]+') END"
 
 

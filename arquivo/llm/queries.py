@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from arquivo.llm import decontam, lines, simhash
+from arquivo.llm import decontam, lines, quality, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op3_quality": quality.op3_quality,
     "op4_decontam": decontam.op4_decontam,
     "op5_line_dedup": lines.op5_line_dedup,
 }
