@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from arquivo.llm import decontam, lines, quality, simhash
+from arquivo.llm import decontam, lines, packing, quality, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op3_quality": quality.op3_quality,
     "op4_decontam": decontam.op4_decontam,
     "op5_line_dedup": lines.op5_line_dedup,
+    "op9_packing": packing.op9_packing,
 }
 
 ORACLES: dict[str, str] = {
