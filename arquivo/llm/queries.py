@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from arquivo.llm import decontam, lines, packing, quality, simhash
+from arquivo.llm import decontam, langid, lines, packing, quality, simhash, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op3_quality": quality.op3_quality,
     "op4_decontam": decontam.op4_decontam,
     "op5_line_dedup": lines.op5_line_dedup,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op8_langid": langid.op8_langid,
     "op9_packing": packing.op9_packing,
 }
 
