@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from arquivo.llm import decontam, langid, lines, packing, quality, simhash, toxicity
+from arquivo.llm import chat, decontam, langid, lines, packing, quality, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_chat": chat.op2_chat,
     "op3_quality": quality.op3_quality,
     "op4_decontam": decontam.op4_decontam,
     "op5_line_dedup": lines.op5_line_dedup,
+    "op6_tokens": tokens.op6_tokens,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_langid": langid.op8_langid,
     "op9_packing": packing.op9_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_chat": chat.ORACLE,
     "op4_decontam": decontam.ORACLE,
 }
