@@ -101,9 +101,8 @@ def stage_decontam(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: contaminated documents go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     gone = common.settle(contaminated(docs, items).select("id", "rid").distinct(), "decontam-gone")
-    d = docs.withColumn("__rid", F.xxhash64("doc_id", "text")).alias("d")
-    on = F.expr("d.__rid = g.rid AND d.doc_id <=> g.id")
-    return common.join_counted(d, gone.alias("g"), on, "left_anti", gone.count()).drop("__rid")
+    on = F.expr("xxhash64(d.doc_id, d.text) = g.rid AND d.doc_id <=> g.id")
+    return common.join_counted(docs.alias("d"), gone.alias("g"), on, "left_anti", gone.count())
 
 
 def _sql_shingles(table: str, key: str) -> str:

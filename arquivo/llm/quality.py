@@ -197,5 +197,5 @@ def op3_quality(spark, sf_dir: str) -> DataFrame:
 def stage_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: rejected documents go."""
     keep = op3_quality_docs(spark, docs, sf_dir).where("kept").select("id", "rid").distinct()
-    d = docs.withColumn("__rid", F.xxhash64("doc_id", "text"))
-    return d.join(keep, (d["__rid"] == keep["rid"]) & d["doc_id"].eqNullSafe(keep["id"]), "left_semi").drop("__rid")
+    on = F.expr("xxhash64(d.doc_id, d.text) = k.rid AND d.doc_id <=> k.id")
+    return docs.alias("d").join(keep.alias("k"), on, "left_semi")

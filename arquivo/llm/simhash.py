@@ -235,6 +235,6 @@ def op1_simhash(spark, sf_dir: str) -> DataFrame:
 
 def stage_simhash(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: of each group of near-duplicates the document with the
-    smallest id stays."""
+    smallest id stays (rows repeated with that id are the same document)."""
     keep = simhash_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component"))).select("doc_id").distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
+    return docs.alias("d").join(keep.alias("k"), F.expr("d.doc_id <=> k.doc_id"), "left_semi")
