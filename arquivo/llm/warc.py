@@ -275,7 +275,9 @@ class WarcReader(DataSourceReader):
             return [WarcFile(f"{path}/{name}") for name in sorted(names)]
         return [WarcFile(f.path) for f in sorted(found, key=lambda f: f.path) if f.base_name.endswith((".warc", ".warc.gz"))]
 
-    def read(self, partition: WarcFile) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: WarcFile | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # there are no files
+            return
         system, _ = _file_system(self.path)
         names = [*HEADERS, "payload_length", *(["payload"] if self.payload else [])]
         types = [pa.string()] * len(HEADERS) + [pa.int64()] + [pa.binary()] * self.payload
