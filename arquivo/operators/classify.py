@@ -256,9 +256,19 @@ def classify_by_regex(files: DataFrame, max_depth: int = 3) -> DataFrame:
     )
 
 
-def unclassified(files: DataFrame, classified: DataFrame, key: list[str]) -> DataFrame:
-    """Listed files that no period takes (left anti join on the file key)."""
-    return files.join(classified.select(*key), key, "left_anti")
+def unclassified(files: DataFrame, max_depth: int = 3) -> DataFrame:
+    """Listed files that no period takes, decided on each row: none of its candidate
+    decompositions under any of its directories is a key of the registry (a literal set of
+    at most 175). One scan, no join and no shuffle."""
+    columns = files.columns
+    staged = _prepare(files).withColumn("_dparts", F.split(normalized_dir(F.col("dir")), "/")).withColumn(
+        "_ancs", ancestors_from_parts("_dparts", max_depth)
+    ).withColumn("_stem", stem_before_extension(F.lower(F.col("filename")), F.col("extension")))
+    periods = [dict(zip(reg.PERIOD_SCHEMA.fieldNames(), row)) for row in reg.period_rows()]
+    keys = sorted({"|".join((p["period_dir"], p["shape"], p["prefix"], p["extension"])) for p in periods})
+    key = "concat(a.ancestor, '|', c.shape, '|', c.prefix, '|', extension)"
+    taken = F.expr(f"exists(_ancs, a -> exists(_cands, c -> coalesce({key} IN ({_sql_list(keys)}), false)))")
+    return _candidates(staged, registry_shapes()).filter(~taken).select(*columns)
 
 
 def within_depth(files: DataFrame, start_dirs: list[str], max_depth: int = 3) -> DataFrame:

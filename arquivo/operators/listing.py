@@ -85,7 +85,7 @@ def listing_files(parsed: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
     if mode.upper() == "FAILFAST":
         # The check sits in a filter so that it is evaluated on every row.
         check = F.when(F.col("parse_error").isNotNull(),
-                       F.raise_error(F.concat(F.lit("bad listing line: "), F.col("full_path"))))
+                       F.raise_error(F.concat(F.lit("bad listing line: "), F.coalesce("line", F.lit("null")))))
         return files.filter(check.isNull()).drop("parse_error")
     return files.filter(F.col("parse_error").isNull()).drop("parse_error")
 

@@ -27,18 +27,19 @@ def manifest(hashed: DataFrame, entries: DataFrame, path_col: str = "path",
 
     Output: url, size, filepath, suffix, dataset, created_at, sha256,
     size_bytes, partition, preliminary, remote_datetime (ISO text), and the
-    nested ``metadata`` struct of the manifest record."""
+    nested ``metadata`` struct of the manifest record. A stored file without an entry
+    stays, with null catalog fields."""
     e = entries.select(
         F.col(entry_key).alias("_ek"), F.col("local_path").alias("_lp"), "url", "size", "extension",
         "dataset", "datetime", "partition", "preliminary",
     )
     h = hashed.select(F.col(path_col).alias("_hk"), "sha256", "size_bytes")
-    j = h.join(e, F.col("_hk") == F.col("_ek"), "inner")
+    j = h.join(e, F.col("_hk") == F.col("_ek"), "left")
     iso = F.date_format(F.col("datetime"), "yyyy-MM-dd'T'HH:mm:ss")
     return j.select(
         F.concat(F.lit(base_url), F.col("url")).alias("url"),
         "size",
-        F.col("_lp").alias("filepath"),
+        F.coalesce("_lp", F.col("_hk").cast("string")).alias("filepath"),
         F.col("extension").alias("suffix"),
         "dataset",
         F.col("datetime").alias("created_at"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arquivo.functions.formatting import fixed_point, ljust, rjust, with_fixed_point_double
@@ -11,6 +11,18 @@ MB_POW2 = 20
 GB_POW2 = 30
 
 
+#: Fixed value: the header of the summary.
+SUMMARY_HEADER = "|".join(("-----------Dataset----------", "---Nº files---", "--Total size--", "------Period range------"))
+
+
+def summary_report(summary: DataFrame) -> DataFrame:
+    """R1 with its header: (position, line), the header at 0, then a line per dataset."""
+    lines = summary_lines(summary)  # at most one row per dataset of the registry
+    numbered = lines.select(F.row_number().over(Window.orderBy("dataset")).alias("position"), "line")
+    header = summary.sparkSession.range(1).select(F.lit(0).alias("position"), F.lit(SUMMARY_HEADER).alias("line"))
+    return header.union(numbered)
+
+
 def summary_lines(summary: DataFrame) -> DataFrame:
     """R1: 'dataset(27) | nnnnnn files | mmmmmm.m MB | from FIRST    to LAST   '.
 
@@ -59,8 +71,8 @@ def dry_run_total_line(total: DataFrame) -> DataFrame:
 def transfer_lines(stats: DataFrame) -> DataFrame:
     """R3: 'name(40) mmm.mm MB ss.ss s rr.rr Mb/s' over A9.
 
-    Floats are rounded on their exact binary value, ties to even, as the
-    reference prints them (Java's formatter would round half-up)."""
+    Floats are rounded on their exact binary value, ties to even (Java's formatter would
+    round half-up). A transfer that took no time has no rate: ``-``."""
     df = stats
     for c in ("size_mb", "seconds", "rate_mbps"):
         df = with_fixed_point_double(df, c, 2, f"_{c}_txt")
@@ -68,6 +80,6 @@ def transfer_lines(stats: DataFrame) -> DataFrame:
         ljust(F.col("filename"), 40), F.lit(" "),
         rjust(F.col("_size_mb_txt"), 6), F.lit(" MB "),
         rjust(F.col("_seconds_txt"), 5), F.lit(" s "),
-        rjust(F.col("_rate_mbps_txt"), 5), F.lit(" Mb/s"),
+        rjust(F.coalesce("_rate_mbps_txt", F.lit("-")), 5), F.lit(" Mb/s"),
     )
     return df.select("filename", line.alias("line"))

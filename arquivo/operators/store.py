@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arquivo.functions.columns import join_path, path_stem, path_suffix
-from arquivo.session import checkpoint_dir
 
 GROUP_KEYS = ("dir", "partition")
 
@@ -84,38 +83,30 @@ def most_recent(files: DataFrame, keys: tuple[str, ...] = GROUP_KEYS, name_col:
 
 
 def version_positions(files: DataFrame, keys: tuple[str, ...] = GROUP_KEYS, name_col: str = "name",
-                      num_partitions: int | None = None) -> DataFrame:
+                      slice_chars: int = 6) -> DataFrame:
     """``position`` 1..n of each file within its group by name, and ``n``.
 
-    Rows are range-partitioned on (keys, name), so a hot group spans several
-    tasks. Each task numbers its slice of a group; the offset of a slice is
-    the sum of the sizes of the earlier slices (a table with at most one row
-    per group and task). The slice assignment is checkpointed (reliable
-    checkpoint in ``spark.checkpoint.dir``) so that it is fixed."""
-    spark = files.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The slice of each row is read by two branches (numbering and offsets).
-    # Range bounds come from sampling, and the sample depends on the order in
-    # which shuffled rows arrive, so each branch could draw other bounds: the
-    # assignment is checkpointed once to the shared folder and both read it.
-    checkpoint_dir(spark)
-    ranged = files.repartitionByRange(n, *keys, name_col).withColumn(
-        "_pid", F.spark_partition_id()
-    ).checkpoint(eager=True)
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(name_col))
-    )
-    slices = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*keys).orderBy("_pid")
-    slices = slices.select(
-        *keys, "_pid",
+    A group is numbered in slices: the part of a name up to its first '@' and the first
+    ``slice_chars`` characters after it (year and month of the version). That part orders
+    as the names do, so a file's position is its number within its slice plus the sizes
+    of the slices before. Slices are cut by the names alone: no sampling, nothing written,
+    and a group with a third of all files spans as many tasks as it has months. Names
+    without '@' are slices of their own."""
+    part = files.withColumn("_slice", F.regexp_extract(name_col, r"(?s)^([^@]*(?:@.{0," + str(slice_chars) + r"})?)", 1))
+    local = part.withColumn("_local", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(name_col)))
+    size = part.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(*keys).orderBy("_slice")
+    size = size.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_slice").alias("_s"),
         F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy(*keys)).alias("n"),
     )
-    out = local.join(slices, [*keys, "_pid"], "inner")
-    return out.withColumn("position", (F.col("_local") + F.col("_off")).cast("bigint")).drop(
-        "_pid", "_local", "_off"
-    ).withColumn("n", F.col("n").cast("bigint"))
+    same = F.col("_slice") == F.col("_s")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    out = local.join(size, same, "inner")
+    return out.select(*files.columns, F.col("n").cast("bigint").alias("n"),
+                      (F.col("_local") + F.col("_off")).cast("bigint").alias("position"))
 
 
 SUPPORT_TREES = ("_documentacao", "_auxiliar")

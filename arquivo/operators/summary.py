@@ -56,26 +56,29 @@ def dataset_summary(classified: DataFrame) -> DataFrame:
     ).orderBy("dataset")
 
 
+def _counted(classified: DataFrame) -> DataFrame:
+    """Files and bytes per dataset: at most one row for each of the registry's datasets."""
+    return classified.groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.col("size"), F.lit(0))).cast("bigint").alias("b"))
+
+
 def dataset_totals(classified: DataFrame) -> DataFrame:
     """A1 + A2: one row per dataset and a grand-total row (dataset null,
-    is_total true), as grouping sets ((dataset), ())."""
-    return classified.rollup("dataset").agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.sum(F.coalesce(F.col("size"), F.lit(0))).cast("bigint").alias("total_bytes"),
+    is_total true). Files are counted per dataset first; only those counts are rolled up."""
+    return _counted(classified).rollup("dataset").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_files"), F.sum("b").cast("bigint").alias("total_bytes"),
         (F.grouping("dataset") == 1).alias("is_total"),
     ).orderBy(F.col("is_total"), F.col("dataset"))
 
 
 def group_summary(classified: DataFrame) -> DataFrame:
     """A10 (derived) + J4: files and bytes per group and dataset, with group
-    subtotals and a grand total (rollup over group, dataset)."""
+    subtotals and a grand total (rollup of the counts per dataset)."""
     spark = classified.sparkSession
     g = F.broadcast(reg.datasets(spark).select("dataset", "group"))
     names = F.broadcast(reg.groups(spark))
-    j = classified.join(g, "dataset", "left")
-    out = j.rollup("group", "dataset").agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.sum(F.coalesce(F.col("size"), F.lit(0))).cast("bigint").alias("total_bytes"),
+    out = _counted(classified).join(g, "dataset", "left").rollup("group", "dataset").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_files"), F.sum("b").cast("bigint").alias("total_bytes"),
         F.grouping_id("group", "dataset").alias("level"),
     )
     return out.join(names, "group", "left").select(

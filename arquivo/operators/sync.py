@@ -7,6 +7,8 @@ the local store does not already hold complete (same path and same size).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +16,13 @@ from arquivo.operators.classify import with_known_ancestors
 from arquivo.operators.partition import support_local_path, with_stored_path
 from arquivo.sources import registry as reg
 
+KINDS = ("doc", "aux")
+NO_PARTITION = "—"
+
 
 def data_entries(classified: DataFrame, root: str = "/data") -> DataFrame:
-    """Data entries with their stored path: id (file name), url, group, dataset,
-    partition, type='data', size, datetime, extension, preliminary, local_path."""
+    """Data entries: the columns of the classified files with group, partition,
+    type='data', url and local_path (see ``catalog_entries`` for the listed form)."""
     spark = classified.sparkSession
     g = F.broadcast(reg.datasets(spark).select("dataset", "group"))
     df = with_stored_path(classified, root).join(g, "dataset", "left")
@@ -29,30 +34,30 @@ def data_entries(classified: DataFrame, root: str = "/data") -> DataFrame:
     )
 
 
-def support_files(files: DataFrame, kind: str, max_depth: int = 3) -> DataFrame:
-    """J3 input: listed files under the documentation ('doc') or auxiliary
-    ('aux') directories (up to ``max_depth`` levels below), with their key."""
+def support_files(files: DataFrame, kinds: Sequence[str] = KINDS, max_depth: int = 3) -> DataFrame:
+    """J3 input: listed files under the documentation ('doc') and auxiliary ('aux')
+    directories (up to ``max_depth`` levels below), with their key and type. One pass over
+    the files serves all kinds: the type is a column of the registry."""
     spark = files.sparkSession
-    dirs = reg.DOCS if kind == "doc" else reg.AUXILIARY
     sreg = F.broadcast(
-        reg.support_registry(spark, kind).select(
-            F.col("key"), F.regexp_replace(F.col("support_dir"), "/+$", "").alias("_sdir")
+        reg.support_registry(spark).where(F.col("type").isin(*kinds)).select(
+            "type", F.col("key"), F.regexp_replace(F.col("support_dir"), "/+$", "").alias("_sdir")
         )
     )
-    ex = with_known_ancestors(files, max_depth, [d for ds in dirs.values() for d in ds], out="_anc_dir")
+    ex = with_known_ancestors(files, max_depth, reg.support_dirs(), out="_anc_dir")
     out = ex.join(sreg, F.col("_anc_dir") == F.col("_sdir"), "inner")
-    return out.drop("_anc_dir", "_sdir", "depth").withColumn("type", F.lit(kind))
+    return out.drop("_anc_dir", "_sdir", "depth")
 
 
-def support_entries(files: DataFrame, kind: str, datasets: list[str] | None = None,
+def support_entries(files: DataFrame, kinds: Sequence[str] = KINDS, datasets: list[str] | None = None,
                     resolve: str = "dataset", root: str = "/data") -> DataFrame:
     """Doc/aux catalog entries for the selected datasets (H7).
 
-    resolve='dataset' (reference): a support key is taken when it equals a
+    resolve='dataset' (the archive tool's rule): a support key is taken when it equals a
     selected *dataset* key. resolve='group': through the datasets' groups.
     The entry's ``dataset`` is the key, its ``local_path`` follows P8."""
     spark = files.sparkSession
-    sup = support_files(files, kind)
+    sup = support_files(files, kinds)
     sel = reg.datasets(spark)
     if datasets:
         sel = sel.filter(F.col("dataset").isin(*sorted(set(datasets))))
@@ -82,12 +87,33 @@ def catalog_union(data: DataFrame, *support: DataFrame) -> DataFrame:
     return out
 
 
+def select_types(entries: DataFrame, types: Sequence[str]) -> DataFrame:
+    """the entries of the given types ('data', 'doc', 'aux')."""
+    return entries.filter(F.col("type").isin(*types))
+
+
+def catalog_entries(entries: DataFrame) -> DataFrame:
+    """U2 as the archive tool lists a catalog: id (the file's name), url, group and dataset
+    (both the dataset's key), partition (``NO_PARTITION`` for a data file without one, null
+    for support files), type, size."""
+    partition = F.when(F.col("partition") == "", NO_PARTITION).otherwise(F.col("partition"))
+    return entries.select(F.col("filename").alias("id"), "url", F.col("dataset").alias("group"), "dataset",
+                          partition.alias("partition"), "type", "size")
+
+
+def sync_status(entries: DataFrame, local: DataFrame, path_col: str = "path", size_col: str = "size") -> DataFrame:
+    """Every entry with ``status``: 'complete' if the local inventory has its path with
+    its very size (H12), 'incomplete' if it has the path with other sizes only, else
+    'missing'. The inventory is reduced to one row per path, so no entry is doubled."""
+    loc = local.groupBy(F.col(path_col).alias("_lp")).agg(F.collect_set(size_col).alias("_sizes"))
+    status = (F.when(F.col("_lp").isNull(), "missing")
+              .when(F.coalesce(F.array_contains("_sizes", F.col("size")), F.lit(False)), "complete").otherwise("incomplete"))
+    return entries.join(loc, F.col("local_path") == F.col("_lp"), "left").select(*entries.columns, status.alias("status"))
+
+
 def sync_plan(entries: DataFrame, local: DataFrame, path_col: str = "path", size_col: str = "size") -> DataFrame:
-    """Entries whose local copy is missing or incomplete: left anti join on
-    (local_path, size) with the local inventory (H12: exact size equality)."""
-    loc = local.select(F.col(path_col).alias("_lp"), F.col(size_col).alias("_ls"))
-    cond = (F.col("local_path") == F.col("_lp")) & (F.col("size") == F.col("_ls"))
-    return entries.join(loc, cond, "left_anti")
+    """Entries whose local copy is missing or incomplete."""
+    return sync_status(entries, local, path_col, size_col).filter("status <> 'complete'").drop("status")
 
 
 def sync_batches(plan: DataFrame) -> DataFrame:

@@ -30,7 +30,6 @@ ARCHIVE_ROOT = "/archive"
 # --- listing ----------------------------------------------------------------
 
 def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The fixture already spreads its (small) source table over the cores.
     return fx.remote_listing(spark, sf_dir).select("id", "dir", "line")
 
 
@@ -54,14 +53,14 @@ SUPPORT_DIR_LIST = sorted(reg.support_dirs())
 
 
 def support_listing_sql() -> str:
-    """Support-file fixture: the LEIAME lines of the listing, moved into the
-    documentation / auxiliary directories (one in five one level deeper)."""
+    """Support-file fixture: all lines of the listing, moved into the documentation /
+    auxiliary directories (one in five one level deeper)."""
     n = len(SUPPORT_DIR_LIST)
     case = " ".join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(SUPPORT_DIR_LIST))
     return (
         f"SELECT id, CASE CAST(id % {n} AS INT) {case} END "
         f"|| CASE WHEN id % 5 = 0 THEN '/old' ELSE '' END AS dir, line "
-        f"FROM remote_listing WHERE name LIKE 'LEIAME%'"
+        f"FROM remote_listing"
     )
 
 
@@ -72,11 +71,7 @@ def support_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def support(spark: SparkSession, sf_dir: str, resolve: str = "dataset") -> DataFrame:
-    files = support_listing(spark, sf_dir)
-    return SY.catalog_union(
-        SY.support_entries(files, "doc", resolve=resolve, root=ROOT),
-        SY.support_entries(files, "aux", resolve=resolve, root=ROOT),
-    )
+    return SY.support_entries(support_listing(spark, sf_dir), resolve=resolve, root=ROOT)
 
 
 def local_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,8 +129,7 @@ def q_classify_equi(spark, sf):
 
 
 def q_unclassified_files(spark, sf):
-    f = listing_files(spark, sf)
-    return C.unclassified(f, classified(spark, sf), ["id"]).select("id", "dir", "filename")
+    return C.unclassified(listing_files(spark, sf)).select("id", "dir", "filename")
 
 
 def q_depth_filter(spark, sf):
@@ -219,8 +213,7 @@ def failed_plan(spark, sf):
     """Failed transfers of the fixture: planned files that are present in the
     local store, i.e. whose copy there is incomplete (a transfer that stopped
     before the end)."""
-    loc = local_copy(spark, sf).select(F.col("path").alias("_lp"))
-    return plan(spark, sf).join(loc, F.col("local_path") == F.col("_lp"), "left_semi")
+    return SY.sync_status(entries(spark, sf), local_copy(spark, sf)).filter("status = 'incomplete'")
 
 
 def q_failed_files_report(spark, sf):
@@ -231,6 +224,30 @@ def q_failed_files_total(spark, sf):
     return SY.failed_total(SY.failed_files(failed_plan(spark, sf)))
 
 
+def q_failed_files_given(spark, sf):
+    """The report for a given set of failures: the files of every eleventh listing line
+    (some of them are not in the plan)."""
+    failed = listing_files(spark, sf).filter(F.col("id") % 11 == 0).select(F.col("full_path").alias("url")).distinct()
+    return SY.failed_files(plan(spark, sf), failed=failed)
+
+
+SELECTED = ["sih-rd", "sinasc-dn", "not-a-dataset"]
+
+
+def q_selected_datasets(spark, sf):
+    return SU.select_datasets(classified(spark, sf), SELECTED).select("id", "dataset", "size")
+
+
+def q_selected_types(spark, sf):
+    u = SY.catalog_union(entries(spark, sf), support(spark, sf, "dataset"))
+    return SY.select_types(u, ["data", "doc"]).select(*SUPPORT_COLS)
+
+
+def q_catalog_entries(spark, sf):
+    u = SY.catalog_union(entries(spark, sf), support(spark, sf, "dataset"))
+    return SY.catalog_entries(u)
+
+
 SUPPORT_COLS = ["id", "type", "dataset", "url", "size", "local_path"]
 
 
@@ -291,6 +308,17 @@ def q_manifest(spark, sf):
                     "partition", "preliminary", "remote_datetime")
 
 
+def q_manifest_by_path(spark, sf):
+    """Stored files meet their entries by stored path; every document is a stored file, at
+    the path of the entry of its number or at one that no entry has."""
+    e = entries(spark, sf)
+    at = e.select(F.col("id").alias("doc_id"), F.col("local_path").alias("path"))
+    docs = fx.table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
+    stored = M.hash_contents(docs).join(at, "doc_id", "left").withColumn(
+        "path", F.coalesce("path", F.concat(F.lit(ROOT + "/unlisted/"), F.col("doc_id").cast("string"))))
+    return M.manifest(stored, e).select("url", "filepath", "dataset", "sha256", "size_bytes", "partition", "remote_datetime")
+
+
 def transfer_log(spark, sf):
     ev = fx.table(spark, sf, "events")
     return ev.select(
@@ -318,6 +346,10 @@ def q_report_lines(spark, sf):
     return R.summary_lines(SU.dataset_summary(classified(spark, sf)))
 
 
+def q_report_with_header(spark, sf):
+    return R.summary_report(SU.dataset_summary(classified(spark, sf)))
+
+
 def q_report_totals(spark, sf):
     c = classified(spark, sf)
     tot = c.agg(F.count(F.lit(1)).alias("n_files"),
@@ -358,6 +390,10 @@ QUERIES = {
     "sync_batches": q_sync_batches,
     "failed_files_report": q_failed_files_report,
     "failed_files_total": q_failed_files_total,
+    "failed_files_given": q_failed_files_given,
+    "selected_datasets": q_selected_datasets,
+    "selected_types": q_selected_types,
+    "catalog_entries": q_catalog_entries,
     "support_files": q_support_files,
     "support_files_by_group": q_support_files_by_group,
     "catalog_union": q_catalog_union,
@@ -368,9 +404,11 @@ QUERIES = {
     "version_positions": q_version_positions,
     "archive_plan": q_archive_plan,
     "manifest": q_manifest,
+    "manifest_by_path": q_manifest_by_path,
     "transfer_stats": q_transfer_stats,
     "transfer_totals": q_transfer_totals,
     "report_lines": q_report_lines,
+    "report_with_header": q_report_with_header,
     "report_totals": q_report_totals,
     "dry_run_lines": q_dry_run_lines,
     "dry_run_total_line": q_dry_run_total_line,

@@ -26,7 +26,6 @@ from arquivo.operators import store as ST
 from arquivo.operators import summary as SU
 from arquivo.operators import sync as SY
 from arquivo.operators.slicer import Slicer
-from arquivo.session import materialize
 
 
 def catalog(listing: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
@@ -50,28 +49,18 @@ def list_datasets(listing: DataFrame, datasets: Sequence[str] | None = None) ->
 def sync(listing: DataFrame, local: DataFrame | None = None, *, root: str = "/data",
          datasets: Sequence[str] | None = None, start: str = "", end: str = "",
          regions: Sequence[str] | None = None, docs: bool = False, aux: bool = False,
-         dry_run: bool = False, resolve: str = "dataset", slicing: str = "lexicographic",
-         materialize_listing: bool | None = None) -> DataFrame:
+         dry_run: bool = False, resolve: str = "dataset", slicing: str = "lexicographic") -> DataFrame:
     """``sync``: the entries to fetch, with url, size and local path.
 
-    ``local`` is the local inventory as (path, size); it is ignored for a dry
-    run, as in the reference (which lists without checking the store). When
-    documentation or auxiliary entries are requested the parsed listing feeds
-    several branches; it is then written once to the shared checkpoint folder
-    (``materialize_listing``, default: on in that case) instead of being
-    parsed once per branch."""
+    ``local`` is the local inventory as (path, size), for example ``scan_store`` of the
+    root; it is ignored for a dry run, which lists without checking the store. Building the
+    plan runs no job and writes nothing."""
     files = LS.listing_files(LS.parse_listing(listing))
-    write_once = (docs or aux) if materialize_listing is None else materialize_listing
-    if write_once:
-        files = materialize(files, "parsed-listing")
     cls = SU.select_datasets(C.classify(files), list(datasets or []))
-    data = SY.data_entries(Slicer(start, end, regions, slicing)(cls), root)
-    parts = [data]
-    if docs:
-        parts.append(SY.support_entries(files, "doc", list(datasets or []), resolve, root))
-    if aux:
-        parts.append(SY.support_entries(files, "aux", list(datasets or []), resolve, root))
-    entries = SY.catalog_union(*parts)
+    entries = SY.data_entries(Slicer(start, end, regions, slicing)(cls), root)
+    kinds = [k for k, on in (("doc", docs), ("aux", aux)) if on]
+    if kinds:
+        entries = SY.catalog_union(entries, SY.support_entries(files, kinds, list(datasets or []), resolve, root))
     if dry_run or local is None:
         return entries
     return SY.sync_plan(entries, local)

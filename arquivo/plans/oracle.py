@@ -79,6 +79,13 @@ FROM (
 ) x"""
 
 
+def _above(table: str, directory: str) -> str:
+    """The rows with each directory at most three levels above theirs (``above``, ``up``)."""
+    parts = f"string_split({directory}, '/')"
+    return (f"SELECT *, array_to_string({parts}[1:len({parts}) - up], '/') AS above "
+            f"FROM (SELECT *, unnest(range(4)) AS up FROM {table}) WHERE up < len({parts})")
+
+
 def _base_ctes() -> list[str]:
     uf_shapes = "('uf_year2_month', 'uf_year2_month_sia_pa', 'uf_year', 'uf_year2', 'uf_mapas_year', 'uf_cnv')"
     g = lambda i: f"regexp_extract(lname, pattern, {i})"
@@ -87,10 +94,10 @@ def _base_ctes() -> list[str]:
         f"pfiles AS ({_parsed_files('remote_listing')})",
         f"reg AS ({_registry_values()})",
         f"""matched AS (
-SELECT f.*, r.dataset, r.grp, r.preliminary, r.shape, r.pattern, r.period_dir, lower(f.filename) AS lname,
-  CAST({_slashes('f.dir')} - {_slashes('r.period_dir')} AS INTEGER) AS depth
-FROM pfiles f JOIN reg r ON (f.dir = r.period_dir OR starts_with(f.dir, r.period_dir || '/'))
-WHERE {_slashes('f.dir')} - {_slashes('r.period_dir')} <= 3 AND regexp_matches(lower(f.filename), r.pattern))""",
+SELECT f.* EXCLUDE (up, above), r.dataset, r.grp, r.preliminary, r.shape, r.pattern, r.period_dir,
+  lower(f.filename) AS lname, CAST(up AS INTEGER) AS depth
+FROM ({_above('pfiles', 'dir')}) f JOIN reg r ON f.above = r.period_dir
+WHERE regexp_matches(lower(f.filename), r.pattern))""",
         f"""cls AS (
 SELECT *,
   CASE WHEN shape IN {uf_shapes} THEN {g(1)} END AS uf,
@@ -115,7 +122,7 @@ FROM (SELECT *,
        WHEN uf IS NOT NULL AND year IS NOT NULL AND month IS NOT NULL
          THEN CAST(year AS VARCHAR) || lpad(CAST(month AS VARCHAR), 2, '0') || '-' || uf
        ELSE '' END AS pbase FROM cls) k)""",
-        f"""entries AS (
+        f"""entries AS MATERIALIZED (
 SELECT *, '{P.ROOT}/' || dataset || CASE WHEN partition_dir <> '' THEN '/' || partition_dir ELSE '' END
   || '/' || dataset || CASE WHEN preliminary THEN '-preliminar' ELSE '' END
   || CASE WHEN partition <> '' THEN '_' || partition ELSE '' END
@@ -139,6 +146,11 @@ def _period_text() -> str:
             "COALESCE(lpad(CAST(month AS VARCHAR), 2, '0'), ''))")
 
 
+def _month(missing: str, bound: str) -> str:
+    digits = f"replace({_q(bound)}, '-', '')"
+    return f"CAST(CASE WHEN length({digits}) = 4 THEN {digits} || '{missing}' ELSE {digits} END AS INTEGER)"
+
+
 def _slice_where(s) -> str:
     conds = []
     if s.regions:
@@ -151,12 +163,12 @@ def _slice_where(s) -> str:
             if s.end:
                 conds.append(f"{t} <= {_q(s.end)}")
         else:
-            from arquivo.operators.slicer import _bound
+            # A year without month stands for its first month as a lower bound, its last as an upper.
             conds.append("year IS NOT NULL")
             if s.start:
-                conds.append(f"year * 100 + COALESCE(month, 12) >= {_bound(s.start, True)}")
+                conds.append(f"year * 100 + COALESCE(month, 12) >= {_month('01', s.start)}")
             if s.end:
-                conds.append(f"year * 100 + COALESCE(month, 1) <= {_bound(s.end, False)}")
+                conds.append(f"year * 100 + COALESCE(month, 1) <= {_month('12', s.end)}")
     return " AND ".join(conds) if conds else "TRUE"
 
 
@@ -169,17 +181,15 @@ def _support_ctes(resolve: str) -> list[str]:
         f"slines AS ({P.support_listing_sql()})",
         f"sfiles AS ({_parsed_files('slines')})",
         f"sreg AS ({_support_values()})",
+        "snorm AS (SELECT *, regexp_replace(dir, '/+', '/', 'g') AS ndir FROM sfiles)",
         f"""support AS (
-SELECT f.id, s.type, s.skey AS dataset, f.full_path AS url, f.size,
+SELECT f.id, f.filename, s.type, s.skey AS dataset, f.full_path AS url, f.size,
   CASE WHEN contains(f.filename, '.') THEN
     '{P.ROOT}/' || CASE s.type WHEN 'doc' THEN '_documentacao' ELSE '_auxiliar' END || '/' || s.skey || '/'
     || regexp_extract(f.filename, '^(.*)\\.([^.]*)$', 1) || '@' || strftime(f.ts, '%Y%m%d') || '.'
     || regexp_extract(f.filename, '^(.*)\\.([^.]*)$', 2) END AS local_path
-FROM sfiles f JOIN sreg s
-  ON (regexp_replace(f.dir, '/+', '/', 'g') = rtrim(s.sdir, '/')
-      OR starts_with(regexp_replace(f.dir, '/+', '/', 'g'), rtrim(s.sdir, '/') || '/'))
-WHERE {_slashes("regexp_replace(f.dir, '/+', '/', 'g')")} - {_slashes("rtrim(s.sdir, '/')")} <= 3
-  AND s.skey IN ({keys}))""",
+FROM ({_above('snorm', 'ndir')}) f JOIN sreg s ON f.above = rtrim(s.sdir, '/')
+WHERE s.skey IN ({keys}))""",
     ]
 
 
@@ -320,6 +330,17 @@ def oracles() -> dict[str, str]:
     o["failed_files_total"] = _with(_local_copy_cte(), _plan_cte(), select=(
         "SELECT count(*) AS n_failed, CAST(COALESCE(sum(size), 0) AS BIGINT) AS failed_bytes "
         "FROM plan p WHERE EXISTS (SELECT 1 FROM local_copy c WHERE c.path = p.local_path)"))
+    o["failed_files_given"] = _with(_local_copy_cte(), _plan_cte(), select=(
+        "SELECT url, dataset, size FROM plan WHERE url IN (SELECT full_path FROM pfiles WHERE id % 11 = 0) ORDER BY url"))
+    o["selected_datasets"] = _with(select=(
+        "SELECT id, dataset, size FROM cls WHERE dataset IN (" + ", ".join(map(_q, P.SELECTED)) + ")"))
+    o["selected_types"] = _with(*_support_ctes("dataset"), select=(
+        "SELECT id, type, dataset, url, size, local_path FROM entries UNION ALL "
+        "SELECT id, type, dataset, url, size, local_path FROM support WHERE type = 'doc'"))
+    o["catalog_entries"] = _with(*_support_ctes("dataset"), select=(
+        "SELECT filename AS id, url, dataset AS \"group\", dataset, CASE WHEN partition = '' THEN '—' ELSE partition END AS partition, "
+        "type, size FROM entries UNION ALL "
+        "SELECT filename, url, dataset, dataset, CAST(NULL AS VARCHAR), type, size FROM support"))
     o["support_files"] = _with(*_support_ctes("dataset"), select=(
         "SELECT id, type, dataset, url, size, local_path FROM support"))
     o["support_files_by_group"] = _with(*_support_ctes("group"), select=(
@@ -344,9 +365,18 @@ def oracles() -> dict[str, str]:
         "hashed AS (SELECT doc_id, sha256(text) AS sha256, "
         "CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes FROM documents)",
         select=(
-            "SELECT e.url, e.size, e.local_path AS filepath, e.extension AS suffix, e.dataset, h.sha256, h.size_bytes, "
+            "SELECT e.url, e.size, COALESCE(e.local_path, CAST(h.doc_id AS VARCHAR)) AS filepath, e.extension AS suffix, "
+            "e.dataset, h.sha256, h.size_bytes, "
             "e.partition, e.preliminary, strftime(e.ts, '%Y-%m-%dT%H:%M:%S') AS remote_datetime "
-            "FROM hashed h JOIN entries e ON h.doc_id = e.id"))
+            "FROM hashed h LEFT JOIN entries e ON h.doc_id = e.id"))
+    o["manifest_by_path"] = _with(
+        "hashed AS (SELECT d.doc_id, sha256(d.text) AS sha256, CAST(octet_length(encode(d.text)) AS BIGINT) AS size_bytes, "
+        f"COALESCE(e.local_path, '{P.ROOT}/unlisted/' || CAST(d.doc_id AS VARCHAR)) AS path "
+        "FROM documents d LEFT JOIN entries e ON d.doc_id = e.id)",
+        select=(
+            "SELECT e.url, h.path AS filepath, e.dataset, h.sha256, h.size_bytes, e.partition, "
+            "strftime(e.ts, '%Y-%m-%dT%H:%M:%S') AS remote_datetime "
+            "FROM hashed h LEFT JOIN entries e ON h.path = e.local_path"))
     o["transfer_stats"] = _events("SELECT filename, dataset, size, seconds, size_mb, rate_mbps FROM tstats")
     o["transfer_totals"] = _events(
         "SELECT dataset, count(*) AS n_files, CAST(sum(size) AS BIGINT) AS total_bytes, "
@@ -357,6 +387,12 @@ def oracles() -> dict[str, str]:
         "SELECT dataset, printf('%-27s', dataset) || ' | ' || printf('%6d', n_files) || ' files | ' || "
         f"printf('%9s', {_mb('total_bytes')}) || ' MB | from ' || printf('%-7s', first_period) || ' to ' || "
         "printf('%-7s', last_period) AS line FROM summary"))
+    o["report_with_header"] = _with(_summary_cte(), select=(
+        "SELECT 0 AS position, '-----------Dataset----------|---Nº files---|--Total size--|------Period range------' AS line "
+        "UNION ALL SELECT CAST(row_number() OVER (ORDER BY dataset) AS INTEGER), "
+        "printf('%-27s', dataset) || ' | ' || printf('%6d', n_files) || ' files | ' || "
+        f"printf('%9s', {_mb('total_bytes')}) || ' MB | from ' || printf('%-7s', first_period) || ' to ' || "
+        "printf('%-7s', last_period) FROM summary"))
     o["report_totals"] = _with(select=(
         f"SELECT 'Total size: ' || {_mb('COALESCE(sum(size), 0)', 30)} || ' GB' AS size_line, "
         "'Total files: ' || CAST(count(*) AS VARCHAR) || ' files' AS files_line FROM cls"))
@@ -368,5 +404,5 @@ def oracles() -> dict[str, str]:
         f"{_mb('COALESCE(sum(COALESCE(size, 0)), 0)', 30, 2)} || ' GB' AS line FROM dry"))
     o["transfer_lines"] = _events(
         "SELECT filename, printf('%-40s', filename) || ' ' || printf('%6.2f', size_mb) || ' MB ' || "
-        "printf('%5.2f', seconds) || ' s ' || printf('%5.2f', rate_mbps) || ' Mb/s' AS line FROM tstats")
+        "printf('%5.2f', seconds) || ' s ' || COALESCE(printf('%5.2f', rate_mbps), '    -') || ' Mb/s' AS line FROM tstats")
     return o

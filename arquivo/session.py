@@ -9,9 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every plan in this package is written against. AQE re-plans joins
 # and coalesces small shuffle partitions at run time; skew-join splits a hot
@@ -50,60 +49,24 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written intermediate tables.
+    """The shared folder for streaming progress: ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (tests,
-    local runs) a fresh scratch folder is created and set.
+    A session on a local master that has none (tests) gets a temporary folder; any other
+    raises, as executors and a restarted driver would not find each other's files there.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="arquivo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
-        pass
     return current
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-partitioned input over the cluster's cores.
-
-    Parsing and classification are CPU work per row, and a small source file
-    comes in one split. When the input already has at least as many
-    partitions as the default parallelism (any large table) nothing is added,
-    so at scale this costs no shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        # A plan that already shuffles is spread by its exchange; asking such a
-        # plan for its RDD would make adaptive execution run the shuffle now.
-        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave as is
-        return df
-    if current < target:
-        return df.repartition(target)
-    return df
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a parquet table under the shared checkpoint folder and
-    read it back: the lineage is cut (a lost executor does not recompute the
-    upstream plan) and several consumers read the table instead of each
-    recomputing it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
+    """A path under the shared folder."""
     return os.path.join(checkpoint_dir(spark), name)

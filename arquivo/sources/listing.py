@@ -36,6 +36,10 @@ def read_listing(spark: SparkSession, root: str, encoding: str = "ISO-8859-1") -
     return df.select(F.col("dir").cast("string").alias("dir"), "line").filter(F.col("line").isNotNull())
 
 
-def write_listing(df: DataFrame, root: str, mode: str = "append") -> None:
-    """Store (dir, line) rows as listing dumps, one folder per directory."""
-    df.select("dir", "line").write.mode(mode).partitionBy("dir").text(root)
+def write_listing(df: DataFrame, root: str, mode: str = "append", encoding: str = "ISO-8859-1") -> None:
+    """Store (dir, line) rows as listing dumps, one folder per directory, in the charset
+    that ``read_listing`` expects. Directories are spread by range, so a task writes few."""
+    (df.select("dir", "line").repartitionByRange("dir", "line").write.mode(mode).partitionBy("dir")
+     .format("csv").option("sep", _NO_SEP).option("quote", "\u0000").option("escape", "\u0000")
+     .option("emptyValue", "").option("encoding", encoding)
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").save(root))

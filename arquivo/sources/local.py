@@ -11,8 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_LOCAL_ROWS = 10_000
-
 
 def _lit(v, typ: str) -> str:
     if v is None:
@@ -31,8 +29,6 @@ def _lit(v, typ: str) -> str:
 
 def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: list[tuple[str, str]]) -> DataFrame:
     """A DataFrame over ``rows`` with ``schema`` [(name, sql type)], as a LocalRelation."""
-    if len(rows) > MAX_LOCAL_ROWS:
-        raise ValueError(f"local_table is for small fixed tables ({len(rows)} rows)")
     names = ", ".join(f"`{n}`" for n, _ in schema)
     values = ",\n".join(
         "(" + ", ".join(_lit(v, t) for v, (_, t) in zip(row, schema)) + ")" for row in rows

@@ -1,50 +1,137 @@
-"""File sources: a local store tree and binary files (S5, K3 input).
+"""File sources: a local store tree and file checksums (S5, K3 input); catalog sink (K1).
 
-Both use Spark's ``binaryFile`` source. Listing a store selects only path,
-length and modification time, so column pruning keeps file contents unread.
+Directories are listed and files hashed in tasks, through ``pyarrow.fs``: Spark's
+``binaryFile`` source leaves out empty files and folders whose names begin with an
+underscore, and holds a whole file in one value.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+CHUNK = 8 << 20  # bytes of a file read at once
+#: Stands for an empty partition_dir in a folder name (which cannot be empty).
+NO_PERIOD = "no-period"
+FILE_COLUMNS = "path string, dir string, name string, size long, modified timestamp"
+
+
+def plain_path(path: str) -> str:
+    """A path or URI without its scheme and authority, as stored paths are written."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "", path).rstrip("/") or "/"
+
+
+def _file_system(root: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root)[0] if ":" in root.split("/")[0] else fs.LocalFileSystem()
+
+
+def _list(spark: SparkSession, root: str, levels: int, deeper: bool) -> DataFrame:
+    """Files ``levels`` levels below root, and with ``deeper`` those at other levels too.
+
+    Each level is a pass that lists the directories of the one above, spread over the
+    cluster by path; a folder of the last level is listed (or walked) by one task."""
+    base = plain_path(root)
+
+    def step(last: bool, only_files: bool):
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyarrow import fs
+
+            system = _file_system(root)
+            for batch in batches:
+                for path, known, is_dir in zip(*(batch.column(c).to_pylist() for c in ("path", "size", "is_dir"))):
+                    if not is_dir:
+                        found = [(path, known, False, None)] if deeper else []
+                    else:
+                        infos = system.get_file_info(fs.FileSelector(path, recursive=last and deeper))
+                        found = [(i.path, i.size, i.type == fs.FileType.Directory, i.mtime) for i in infos]
+                    if only_files:
+                        found = [x for x in found if not x[2]]
+                    for k in range(0, len(found), 10_000):
+                        rows = list(zip(*found[k : k + 10_000]))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(rows[0], pa.string()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.bool_()),
+                             pa.array(rows[3], pa.timestamp("us", tz="UTC"))], names=["path", "size", "is_dir", "modified"])
+        return of
+
+    schema = "path string, size long, is_dir boolean, modified timestamp"
+    out = spark.range(1, numPartitions=1).select(
+        F.lit(base).alias("path"), F.lit(None).cast("long").alias("size"), F.lit(True).alias("is_dir"),
+        F.lit(None).cast("timestamp").alias("modified"))
+    for level in range(levels + 1):
+        out = out.mapInArrow(step(level == levels, level == levels), schema)
+        if level < levels:
+            out = out.repartition("path")
+    rel = F.substring(F.col("path"), len(base.rstrip("/")) + 2, 1 << 20)
+    name = F.substring_index(rel, "/", -1)
+    return out.select(
+        "path", F.when(F.contains(rel, F.lit("/")), F.regexp_extract(rel, r"^(.*)/[^/]*$", 1)).otherwise("").alias("dir"),
+        name.alias("name"), "size", "modified")
 
 
 def scan_store(spark: SparkSession, root: str, depth: int = 2) -> DataFrame:
-    """Files exactly ``depth`` directory levels under ``root`` whose name has
-    a dot, as (path, dir, name, size, modified). ``dir`` is relative to root."""
-    root = root.rstrip("/")
-    pattern = root + "/*" * depth + "/*.*"
-    df = spark.read.format("binaryFile").load(pattern).select("path", "length", "modificationTime")
-    # path is a URI (file:/..., hdfs://...); keep the part after the root.
-    rel = F.regexp_extract(F.col("path"), r"^(?:[a-z]+:)?(?://[^/]*)?" + _escape(root) + r"/(.*)$", 1)
-    return df.select(
-        F.col("path"),
-        F.regexp_extract(rel, r"^(.*)/[^/]*$", 1).alias("dir"),
-        F.substring_index(rel, "/", -1).alias("name"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"),
-    )
-
-
-def _escape(s: str) -> str:
-    out = []
-    for ch in s:
-        out.append("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch)
-    return "".join(out)
-
-
-def read_binary(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Binary files with content: (path, size, content)."""
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.option("recursiveFileLookup", "true").load(path).select(
-        "path", F.col("length").alias("size"), "content"
-    )
-
-
-def write_catalog(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Files exactly ``depth`` directory levels under ``root`` whose name has a dot, as
+    (path, dir, name, size, modified); empty files too. ``path`` has no scheme, as stored
+    paths have none; ``dir`` is relative to root."""
+    return _list(spark, root, depth, deeper=False).where(F.contains("name", F.lit(".")))
+
+
+def store_files(spark: SparkSession, root: str) -> DataFrame:
+    """All files at any level under ``root``, those of support trees (``_documentacao``,
+    ``_auxiliar``) and empty ones included; columns as ``scan_store``."""
+    return _list(spark, root, 2, deeper=True)
+
+
+def hash_files(files: DataFrame, root: str = "/") -> DataFrame:
+    """Adds sha256 (hex) and size_bytes of the files named in column ``path`` (on the file
+    system of ``root``), read in the tasks in chunks. Files are spread by path first."""
+    schema = T.StructType([*files.schema.fields, T.StructField("sha256", T.StringType()), T.StructField("size_bytes", T.LongType())])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system = _file_system(root)
+        for batch in batches:
+            digests, sizes = [], []
+            for path in batch.column("path").to_pylist():
+                digest, size = hashlib.sha256(), 0
+                with system.open_input_stream(path) as f:
+                    while data := f.read(CHUNK):
+                        digest.update(data)
+                        size += len(data)
+                digests.append(digest.hexdigest())
+                sizes.append(size)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests), pa.array(sizes, pa.int64())],
+                                             names=[*batch.schema.names, "sha256", "size_bytes"])
+
+    return files.repartition("path").mapInArrow(of, schema)
+
+
+def by_partition(df: DataFrame) -> DataFrame:
+    """Rows range-partitioned on the catalog's partition columns (and all others, so that a
+    large partition spans tasks): a task writes few files. Empty periods get their token."""
+    token = F.when(F.col("partition_dir") == "", NO_PERIOD).otherwise(F.col("partition_dir"))
+    rest = F.xxhash64(*[c for c in df.columns if c not in ("dataset", "partition_dir")])
+    named = df.withColumn("partition_dir", token)
+    return named.repartitionByRange("dataset", "partition_dir", rest) if not df.isStreaming else named.repartition("dataset", "partition_dir")
+
+
+def write_catalog(df: DataFrame, path: str, mode: str = "error") -> None:
     """K1: store a catalog table partitioned like the store layout
     (dataset / partition_dir), so period and dataset filters prune files."""
-    df.write.mode(mode).partitionBy("dataset", "partition_dir").parquet(path)
+    by_partition(df).write.mode(mode).partitionBy("dataset", "partition_dir").parquet(path)
+
+
+def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that ``write_catalog`` or the stream stored, with partition_dir as the string
+    it was (empty without a period); filters on both partition columns prune folders."""
+    found = spark.read.parquet(path).schema
+    texts = ("dataset", "partition_dir")
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in texts else f.dataType) for f in found])
+    return spark.read.schema(schema).parquet(path).withColumn(
+        "partition_dir", F.when(F.col("partition_dir") == NO_PERIOD, "").otherwise(F.col("partition_dir")))

@@ -9,6 +9,8 @@ checkpoint under the cluster's shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +19,7 @@ from arquivo.operators.listing import listing_files, parse_listing
 from arquivo.operators.partition import with_partition
 from arquivo.session import scratch_path
 from arquivo.sources.listing import _NO_SEP
+from arquivo.sources.store import by_partition
 
 
 def listing_stream(spark: SparkSession, root: str, encoding: str = "ISO-8859-1",
@@ -43,9 +46,15 @@ def classified_stream(lines: DataFrame) -> DataFrame:
 
 def start_catalog_stream(spark: SparkSession, root: str, sink: str, checkpoint: str | None = None,
                          available_now: bool = True, query_name: str | None = None) -> StreamingQuery:
-    """Append classified files of new dumps to a parquet catalog at ``sink``."""
-    ckpt = checkpoint or scratch_path(spark, f"catalog-stream-{abs(hash((root, sink)))}")
-    out = classified_stream(listing_stream(spark, root))
+    """Append classified files of new dumps to a parquet catalog at ``sink``.
+
+    Progress is kept at ``checkpoint``, by default in a folder of the shared one that is
+    named by a digest of root and sink: a restart finds it from any process. Each batch
+    is range-partitioned on the catalog's partition columns, so a task writes few files.
+    """
+    name = hashlib.sha256(f"{root}\n{sink}".encode()).hexdigest()[:32]
+    ckpt = checkpoint or scratch_path(spark, f"catalog-stream-{name}")
+    out = by_partition(classified_stream(listing_stream(spark, root)))
     writer = (
         out.writeStream.format("parquet")
         .option("checkpointLocation", ckpt)

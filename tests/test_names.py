@@ -1,77 +1,64 @@
-"""Remote file names: classification and partition fields."""
+"""Remote file names: every period of the registry takes the names built for it."""
+
+import random
 
 import pytest
 
 from arquivo.operators.classify import classify
+from arquivo.sources import registry as reg
 from arquivo.sources.registry import BASE
 
-SIH_NEW = BASE + "/SIHSUS/200801_/Dados"
-SIH_OLD = BASE + "/SIHSUS/199201_200712/Dados"
-
-
-def _one(spark, dir_, name):
-    rows = classify(spark.createDataFrame([(dir_, name)], "dir string, filename string")).collect()
-    return rows
-
-
-@pytest.mark.parametrize("name,uf,year,month", [
-    ("SPGO1904.dbc", "go", 2019, 4),
-    ("SPSP7901.dbc", "sp", 1979, 1),
-    ("SPSP8512.dbc", "sp", 1985, 12),
-    ("SPSP9706.dbc", "sp", 1997, 6),
-    ("SPSP0001.dbc", "sp", 2000, 1),
-    ("SPSP6006.dbc", "sp", 2060, 6),
-    ("SPSP2312.dbc", "sp", 2023, 12),
-    ("spgo1904.DBC", "go", 2019, 4),
-])
-def test_uf_year2_month(spark, name, uf, year, month):
-    rows = _one(spark, SIH_NEW, name)
-    assert len(rows) == 1
-    r = rows[0]
-    assert (r.dataset, r.uf, r.year, r.month, r.version) == ("sih-sp", uf, year, month, None)
-
-
-def test_rejects_bad_month_and_wrong_name(spark):
-    assert _one(spark, SIH_NEW, "SPSP2313.dbc") == []
-    assert _one(spark, SIH_OLD, "totally_wrong.dbc") == []
-    assert _one(spark, SIH_OLD, "rdsp2001.dbc")[0].dataset == "sih-rd"
-
-
-@pytest.mark.parametrize("dir_,name,dataset,uf,year", [
-    (BASE + "/SINASC/1996_/Dados/DNRES", "DNSP2015.dbc", "sinasc-dn", "sp", 2015),
-    (BASE + "/SINASC/1996_/Dados/DNRES", "DNBA2020.dbc", "sinasc-dn", "ba", 2020),
-    (BASE + "/SINASC/1996_/Dados/DNRES", "DNBR2018.dbc", "sinasc-dn", "br", 2018),
-    (BASE + "/SIM/CID9/DORES", "DORSP96.dbc", "sim-do-cid09", "sp", 1996),
-    (BASE + "/SIM/CID9/DORES", "DORRJ79.dbc", "sim-do-cid09", "rj", 1979),
-    (BASE + "/SINASC/1996_/Dados/DNRES", "DNEX2015.dbc", "sinasc-dnex", None, 2015),
-    (BASE + "/SINASC/1996_/Dados/DNRES", "DNEX2023.dbc", "sinasc-dnex", None, 2023),
-    (BASE + "/SIM/CID10/DOFET", "DOINF97.dbc", "sim-doinf-cid10", None, 1997),
-    ("/territorio/mapas", "sp_mapas_2013.zip", "base-territorial-mapas", "sp", 2013),
-    ("/territorio/conversoes", "RJ_cnv.zip", "base-territorial-conversao", "rj", None),
-])
-def test_year_shapes(spark, dir_, name, dataset, uf, year):
-    rows = _one(spark, dir_, name)
-    assert [(r.dataset, r.uf, r.year) for r in rows] == [(dataset, uf, year)]
-
-
-@pytest.mark.parametrize("name,version,year,month", [
-    ("PASP0801.dbc", "", 2008, 1), ("PASP0801a.dbc", "a", 2008, 1), ("PARJ1506b.dbc", "b", 2015, 6),
-])
-def test_sia_pa_version(spark, name, version, year, month):
-    rows = _one(spark, BASE + "/SIASUS/200801_/Dados", name)
-    assert [(r.dataset, r.version, r.year, r.month) for r in rows] == [("sia-pa", version, year, month)]
-
-
-def test_any_shape_and_depth(spark):
-    rows = _one(spark, "/territorio/tabelas/sub/deeper", "Tab 10.ZIP")
-    assert [(r.dataset, r.version, r.depth) for r in rows] == [("base-territorial", "tab 10", 2)]
-    assert _one(spark, "/territorio/tabelas/a/b/c/d", "x.zip") == []  # four levels below
-    assert len(_one(spark, "/territorio/tabelas/a/b/c", "x.zip")) == 1
-
-
-def test_preliminary_and_bag_semantics(spark):
-    rows = _one(spark, BASE + "/SINAN/DADOS/PRELIM", "DENGSP24.dbc")
-    assert [(r.dataset, r.preliminary, r.year) for r in rows] == [("sinan-deng", True, 2024)]
-    # SINAN directories serve 56 datasets; prefixes keep them apart
-    rows = _one(spark, BASE + "/SINAN/DADOS/FINAIS", "HIVASP19.dbc")
-    assert [r.dataset for r in rows] == ["sinan-hiva"]
+UFS = [c.lower() for c in reg.UF_CODES]
+
+
+def build(shape, rnd):
+    """The varying part of a name of a shape, and its (uf, year, month, version)."""
+    uf, year, month = rnd.choice(UFS), rnd.randint(1970, 2069), rnd.randint(1, 12)
+    yy = f"{year % 100:02d}"
+    return {
+        "uf_year2_month": (f"{uf}{yy}{month:02d}", (uf, year, month, None)),
+        "uf_year2_month_sia_pa": (f"{uf}{yy}{month:02d}b", (uf, year, month, "b")),
+        "uf_year": (f"{uf}{year}", (uf, year, None, None)),
+        "uf_year2": (f"{uf}{yy}", (uf, year, None, None)),
+        "year": (f"{year}", (None, year, None, None)),
+        "year2": (yy, (None, year, None, None)),
+        "uf_mapas_year": (f"{uf}_mapas_{year}", (uf, year, None, None)),
+        "uf_cnv": (f"{uf}_cnv", (uf, None, None, None)),
+        "any": ("some table 3", (None, None, None, "some table 3")),
+    }[shape]
+
+
+def test_every_period_takes_its_names(spark):
+    rnd, rows, wanted = random.Random(17), [], {}
+    for d in reg.DATASETS.values():
+        for p in d.periods:
+            i = len(rows)
+            body, fields = build(p.shape, rnd)
+            name = f"{p.prefix}{body}.{p.extension}"
+            rows.append((i, p.dir, name.upper() if i % 2 else name))
+            wanted[i] = (d.key, p.preliminary, *fields)
+    got = {}
+    for r in classify(spark.createDataFrame(rows, "i int, dir string, filename string")).collect():
+        got.setdefault(r.i, set()).add((r.dataset, r.preliminary, r.uf, r.year, r.month, r.version))
+    assert all(wanted[i] in got.get(i, ()) for i in wanted)
+
+
+def one(spark, directory, name):
+    return classify(spark.createDataFrame([(directory, name)], "dir string, filename string")).collect()
+
+
+@pytest.mark.parametrize("name", ["RDPE0700.dbc", "RDPE0713.dbc", "RDXX0707.dbc", "RDPE0707.zip", "RDPE0707", "PE0707.dbc",
+                                  "RDPE0707x.dbc", "XRDPE0707.dbc"])
+def test_names_that_no_period_takes(spark, name):
+    assert one(spark, BASE + "/SIHSUS/200801_/Dados", name) == []
+
+
+@pytest.mark.parametrize("yy,year", [("69", 2069), ("70", 1970), ("99", 1999), ("00", 2000)])
+def test_century(spark, yy, year):
+    assert [r.year for r in one(spark, BASE + "/SIHSUS/200801_/Dados", f"RDTO{yy}08.dbc")] == [year]
+
+
+def test_levels_below_a_directory(spark):
+    for below, rows in (("", 1), ("/a", 1), ("/a/b", 1), ("/a/b/c", 1), ("/a/b/c/d", 0)):
+        found = one(spark, "/territorio/tabelas" + below, "Lista 4.zip")
+        assert [(r.dataset, r.version, r.depth) for r in found] == [("base-territorial", "lista 4", below.count("/"))] * rows

@@ -1,108 +1,73 @@
-"""Randomised parser checks against Python's own string and date rules."""
+"""Parsers on lines and names that are built from known fields."""
 
 import datetime as dt
 import random
-from pathlib import PurePosixPath
 
-from arquivo.operators.listing import listing_files, parse_listing
-from arquivo.operators.store import parse_store_names
-
-TOK = ["a", "B", "x.dbc", "tab 1.zip", "", " ", "  ", ".", "@", "_", "sp", "2024", "0101", "x@y", "n/a", "12"]
-
-
-def _line(rnd):
-    m = rnd.choice([str(rnd.randint(1, 12)), f"{rnd.randint(1, 12):02d}", "13", "00"])
-    d = rnd.choice([str(rnd.randint(1, 31)), f"{rnd.randint(1, 31):02d}", "32"])
-    y = rnd.choice([f"{rnd.randint(0, 99):02d}", "5"])
-    h = rnd.choice([f"{rnd.randint(1, 12):02d}", str(rnd.randint(1, 12)), "00", "13"])
-    mi = rnd.choice([f"{rnd.randint(0, 59):02d}", "60"])
-    ap = rnd.choice(["AM", "PM", "am", "pm", "XM"])
-    size = rnd.choice([str(rnd.randint(0, 10**9)), "n/a", "-5", "+7", "1e3"])
-    name = "".join(rnd.choice(TOK) for _ in range(rnd.randint(1, 4))) or "f"
-    sep = rnd.choice([" ", "  ", "   ", "\t"])
-    return rnd.choice(["", " "]) + f"{m}-{d}-{y}{sep}{h}:{mi}{ap}{sep}{size} {name}"
-
-
-def _py_parse(line):
-    """The original rule: split on blanks into four fields, strptime the
-    first two, int() the third (0 if not), extension after the last dot."""
-    try:
-        date, t, size, name = line.split(maxsplit=3)
-        ts = dt.datetime.strptime(date + " " + t, "%m-%d-%y %I:%M%p")
-    except ValueError:
-        return None
-    try:
-        size_v = int(size)
-    except ValueError:
-        size_v = 0
-    ext = name.rsplit(".", maxsplit=1)[1].lower() if "." in name else None
-    return (name, ts, size_v, ext)
-
-
-def test_listing_lines(spark):
-    rnd = random.Random(3)
-    lines = [_line(rnd) for _ in range(3000)]
-    df = spark.createDataFrame([(i, "/d", ln) for i, ln in enumerate(lines)], "id int, dir string, line string")
-    got = {r.id: (r.filename, r.datetime, r.size, r.extension) for r in listing_files(parse_listing(df)).collect()}
-    exp = {i: v for i, ln in enumerate(lines) if (v := _py_parse(ln)) is not None}
-    # Python also accepts a few spellings Spark rejects on purpose ('+7' and
-    # one-digit years are fine in both; Unicode digits do not occur here).
-    assert set(got) == set(exp)
-    assert all(got[i] == exp[i] for i in exp)
-
-
-NAME_TOK = ["sih-rd", "_", "202001", "-sp", "@", "2024", "0115", "0230", ".dbc", ".", "x", "-preliminar", "a_b"]
-
-
-def _py_store(name):
-    p = PurePosixPath(name)
-    stem = p.stem
-    base, sep, date = stem.rpartition("@")
-    if not sep:
-        return None
-    dataset, partition = base.split("_", 1) if "_" in base else (base, "")
-    if not (len(date) == 8 and date.isdigit()):
-        return None
-    try:
-        d = dt.datetime.strptime(date, "%Y%m%d").date()
-    except ValueError:
-        return None
-    return (dataset, partition, d, p.suffix)
-
-
-def test_store_names(spark):
-    rnd = random.Random(5)
-    names = sorted({"".join(rnd.choice(NAME_TOK) for _ in range(rnd.randint(1, 7))) for _ in range(4000)})
+from arquivo.operators.listing import listing_files, listing_rejects, parse_listing
+from arquivo.operators.store import most_recent, parse_store_names, valid_store_files, version_positions
+
+
+def test_listing_lines_give_back_their_fields(spark):
+    rnd = random.Random(31)
+    lines, fields, bad = [], {}, set()
+    for i in range(1500):
+        when = dt.datetime(rnd.randint(1969, 2068), rnd.randint(1, 12), rnd.randint(1, 28), rnd.randint(0, 23), rnd.randint(0, 59))
+        clock = when.strftime("%I:%M%p") if rnd.random() < .7 else when.strftime("%I:%M%p").lower()
+        day = when.strftime("%m-%d-%y")
+        if rnd.random() < .2:  # without leading zeros
+            day, clock = f"{when.month}-{when.day}-{when:%y}", clock.lstrip("0")
+        stem, ext = rnd.choice(["plain", "with space", "dots.in.it", "ação"]), rnd.choice(["dbc", "ZIP", ""])
+        name = f"{stem}.{ext}" if ext or "." in stem else stem
+        size = rnd.choice([0, 7, 10**10])
+        text, size_is = rnd.choice([(str(size), size), ("unknown", 0)])
+        gap = rnd.choice([" ", "\t", "    "])
+        kind = rnd.randrange(12)
+        if kind == 0:
+            bad.add(i)
+            line = rnd.choice([day, f"{day}{gap}{clock}", f"{day}{gap}{clock}{gap}{text}", f"99-{day}{gap}{clock} {text} {name}", ""])
+        else:
+            line = f"{rnd.choice(['', '  '])}{day}{gap}{clock}{gap}{text}{gap}{name}"
+            fields[i] = (name, when, size_is, name.rsplit(".", 1)[1].lower() if "." in name else None)
+        lines.append((i, "/d", line))
+    parsed = parse_listing(spark.createDataFrame(lines, "id int, dir string, line string"))
+    got = {r.id: (r.filename, r.datetime, r.size, r.extension) for r in listing_files(parsed).collect()}
+    assert got == fields
+    assert {r.id for r in listing_rejects(parsed).select("id").collect()} == bad
+
+
+def store_names(seed, n):
+    """{name: (dataset, partition, date, extension) or None if it cannot be parsed}."""
+    rnd, out = random.Random(seed), {}
+    for _ in range(n):
+        dataset, partition = rnd.choice(["po", "cnes-lt", "po-preliminar"]), rnd.choice(["", "201212-pe", "1987", "a_b", "x@y"])
+        date = dt.date(rnd.randint(1990, 2040), rnd.randint(1, 12), rnd.randint(1, 28))
+        base, ext = f"{dataset}_{partition}" if partition else dataset, rnd.choice([".dbc", ".zip", ""])
+        kind = rnd.randrange(10)
+        if kind == 0:
+            stamp = rnd.choice([f"{date:%Y%m}", f"{date:%Y%m%d}0", f"{date:%Y}0230", "2020011x"])
+            out[f"{base}@{stamp}{ext}"] = None
+        elif kind == 1 and "@" not in partition:
+            out[f"{base}-{date:%Y%m%d}{ext}"] = None
+        else:
+            out[f"{base}@{date:%Y%m%d}{ext}"] = (dataset, partition, date, ext)
+    return out
+
+
+def test_store_names_give_back_their_fields(spark):
+    names = store_names(8, 1200)
     df = spark.createDataFrame([("d", n, 1) for n in names], "dir string, name string, size bigint")
-    got = {r.name: (r.dataset, r.partition, r.date, r.extension)
-           for r in parse_store_names(df).filter("valid").collect()}
-    exp = {n: v for n in names if (v := _py_store(n)) is not None}
-    assert got == exp
-
-
-def test_most_recent_against_grouping(spark):
-    from collections import defaultdict
-
-    from arquivo.operators.store import most_recent, valid_store_files, version_positions
-    rnd = random.Random(9)
-    rows = set()
-    for _ in range(3000):
-        d = rnd.choice(["sih-rd/202001", "sih-rd/202002", "sia-pa/200801"])
-        ds = rnd.choice(["sih-rd", "sih-rd-preliminar", "sia-pa"])
-        part = rnd.choice(["202001-sp", "202001-rj", "200801-sp-a", ""])
-        stamp = f"20{rnd.randint(20, 27)}{rnd.randint(1, 12):02d}{rnd.randint(1, 28):02d}"
-        name = f"{ds}{'_' + part if part else ''}@{stamp}.dbc"
-        rows.add((d, name))
-    rows = sorted(rows)
-    df = spark.createDataFrame([(d, n, 1) for d, n in rows], "dir string, name string, size bigint")
-    v = valid_store_files(parse_store_names(df))
-    got = {(r.dir, r.name): r.is_most_recent for r in most_recent(v).collect()}
-    pos = {(r.dir, r.name): (r.position, r.n) for r in version_positions(v, num_partitions=5).collect()}
-    groups = defaultdict(list)
-    for d, n in rows:
-        groups[(d, _py_store(n)[1])].append(n)
-    for (d, _), names in groups.items():
-        names.sort()
-        for k, n in enumerate(names, 1):
-            assert got[(d, n)] is (k == len(names))
-            assert pos[(d, n)] == (k, len(names))
+    rows = parse_store_names(df).collect()
+    assert {r.name: (r.dataset, r.partition, r.date, r.extension) if r.valid else None for r in rows} == names
+
+
+def test_versions_are_counted_by_name(spark):
+    names = {n: v for n, v in store_names(9, 900).items() if v}
+    rows = [(d, n, 1) for i, n in enumerate(names) for d in (["one", "two"] if i % 3 else ["one"])]
+    files = valid_store_files(parse_store_names(spark.createDataFrame(rows, "dir string, name string, size bigint")))
+    latest = {(r.dir, r.name) for r in most_recent(files).where("is_most_recent").collect()}
+    place = {(r.dir, r.name): (r.position, r.n) for r in version_positions(files).collect()}
+    assert len(place) == len(rows)
+    for d, n, _ in rows:
+        peers = [m for e, m, _ in rows if e == d and names[m][1] == names[n][1]]
+        assert place[d, n] == (sum(m <= n for m in peers), len(peers))
+        assert ((d, n) in latest) == (place[d, n][0] == len(peers))

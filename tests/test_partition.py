@@ -2,74 +2,55 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from arquivo.functions.columns import partition_dir, partition_key
 from arquivo.operators.partition import support_local_path, with_stored_path
 
-SCHEMA = "uf string, year int, month int, version string"
+#: Which of (uf, year, month) are given, and how they are written. Others give nothing.
+TEMPLATES = {(0, 1, 0): "{year}", (1, 0, 0): "{uf}", (1, 1, 0): "{year}-{uf}", (1, 1, 1): "{year}{month:02}-{uf}"}
+FIELDS = [(uf, year, month, version) for uf in (None, "PE", "to") for year in (None, 1987, 2031)
+          for month in (None, 4, 11) for version in (None, "", "Q", "Tab 7")]
 
 
-@pytest.mark.parametrize("uf,year,month,version,expected", [
-    (None, 2020, None, None, "2020"),
-    ("SP", None, None, None, "sp"),
-    ("RJ", 2020, None, None, "2020-rj"),
-    ("MG", 2020, 6, None, "202006-mg"),
-    ("SP", 2020, 1, None, "202001-sp"),
-    ("SP", 2020, 1, "a", "202001-sp-a"),
-    (None, None, None, None, ""),
-    ("AC", 2015, None, None, "2015-ac"),
-    (None, 2020, 6, None, ""),            # year+month without uf
-    ("sp", 2008, 1, "", "200801-sp"),     # empty version counts as absent
-    (None, None, None, "tab 10", "tab 10"),
-])
-def test_partition_key(spark, uf, year, month, version, expected):
-    df = spark.createDataFrame([(uf, year, month, version)], SCHEMA)
-    assert df.select(partition_key("uf", "year", "month", "version")).first()[0] == expected
+def expected_key(uf, year, month, version):
+    given = tuple(int(x is not None) for x in (uf, year, month))
+    parts = [TEMPLATES.get(given, "").format(uf=uf, year=year, month=month), version or ""]
+    return "-".join(p for p in parts if p).lower()
 
 
-@pytest.mark.parametrize("year,month,expected", [(2020, 1, "202001"), (2020, None, "2020"),
-                                                 (2020, 3, "202003"), (None, None, "")])
-def test_partition_dir(spark, year, month, expected):
-    df = spark.createDataFrame([(year, month)], "year int, month int")
-    assert df.select(partition_dir("year", "month")).first()[0] == expected
-
-
-def _remote(spark, **kw):
-    row = dict(uf=None, year=None, month=None, version=None, preliminary=False, dataset="sih-rd",
-               datetime=dt.datetime(2024, 1, 15), extension="dbc")
-    row.update(kw)
-    schema = ("uf string, year int, month int, version string, preliminary boolean, dataset string, "
-              "datetime timestamp_ntz, extension string")
-    cols = ["uf", "year", "month", "version", "preliminary", "dataset", "datetime", "extension"]
-    return with_stored_path(spark.createDataFrame([tuple(row[c] for c in cols)], schema), "/data").first()
+def test_key_and_directory_of_every_combination(spark):
+    df = spark.createDataFrame(FIELDS, "uf string, year int, month int, version string")
+    rows = df.select("*", partition_key("uf", "year", "month", "version").alias("k"), partition_dir("year", "month").alias("d")).collect()
+    for r in rows:
+        assert r.k == expected_key(r.uf, r.year, r.month, r.version)
+        assert r.d == ("" if r.year is None else f"{r.year}{r.month:02}" if r.month else str(r.year))
 
 
 def test_stored_names_and_paths(spark):
-    assert _remote(spark, uf="sp", year=2020, month=1).stored_name == "sih-rd_202001-sp@20240115.dbc"
-    r = _remote(spark, year=2023, dataset="sinasc-dn")
-    assert r.stored_name == "sinasc-dn_2023@20240115.dbc"
-    assert r.stored_path == "/data/sinasc-dn/2023/sinasc-dn_2023@20240115.dbc"
-    p = _remote(spark, uf="sp", year=2024, month=1, preliminary=True)
-    assert p.stored_name.startswith("sih-rd-preliminar_")
-    assert _remote(spark, uf="sp", year=2008, month=1, version="a").stored_name == "sih-rd_200801-sp-a@20240115.dbc"
-    r = _remote(spark, uf="sp", year=2020, month=1)
-    assert r.stored_path == "/data/sih-rd/202001/sih-rd_202001-sp@20240115.dbc"
-    r = _remote(spark, uf="mg", year=2021, month=3, dataset="cnes-st")
-    assert r.stored_path.split("/")[-3] == "cnes-st"
-    # no partition at all: straight under the dataset directory
-    r = _remote(spark, version="tabelas", dataset="base-territorial", extension="zip")
-    assert r.stored_path == "/data/base-territorial/base-territorial_tabelas@20240115.zip"
+    rows = [
+        ("pe", 1987, 11, None, False, "siasus-x", "csv", "siasus-x/198711/siasus-x_198711-pe@20310509.csv"),
+        (None, 2031, None, None, True, "anual", "dbf", "anual/2031/anual-preliminar_2031@20310509.dbf"),
+        ("to", 2031, 4, "q", True, "mensal", "dbc", "mensal/203104/mensal-preliminar_203104-to-q@20310509.dbc"),
+        (None, None, None, "malha", False, "mapas", "zip", "mapas/mapas_malha@20310509.zip"),
+        (None, None, None, None, False, "solto", "txt", "solto/solto@20310509.txt"),
+    ]
+    df = spark.createDataFrame([r[:7] for r in rows], "uf string, year int, month int, version string, "
+                               "preliminary boolean, dataset string, extension string")
+    df = df.withColumn("datetime", F.lit(dt.datetime(2031, 5, 9, 8, 30)).cast("timestamp_ntz"))
+    for root in ("/acervo", "/acervo/"):
+        got = {r.dataset: r for r in with_stored_path(df, root).collect()}
+        for r in rows:
+            assert got[r[5]].stored_path == f"/acervo/{r[7]}"
+            assert got[r[5]].stored_name == r[7].rsplit("/", 1)[1]
 
 
 def test_support_paths(spark):
     df = spark.createDataFrame(
-        [("doc", "ciha", "Leia Me.PDF"), ("aux", "sih", "tab.v2.zip"), ("doc", "po", "README"),
-         ("x", "po", "a.b")],
+        [("doc", "cih", "Notas v1.2.Docx"), ("aux", "pce", "uf.ZIP"), ("doc", "pce", "SEMPONTO"), ("other", "pce", "solto.bin")],
         "type string, key string, filename string",
-    ).withColumn("ts", F.lit(dt.datetime(2024, 1, 15)).cast("timestamp_ntz"))
+    ).withColumn("ts", F.lit(dt.datetime(2031, 5, 9)).cast("timestamp_ntz"))
     out = [r[0] for r in df.select(support_local_path(F.col("type"), F.col("key"), F.col("filename"),
-                                                      F.col("ts"), "/out")).collect()]
-    assert out == ["/out/_documentacao/ciha/Leia Me@20240115.PDF", "/out/_auxiliar/sih/tab.v2@20240115.zip",
-                   None, "/out/a.b"]
+                                                      F.col("ts"), "/acervo")).collect()]
+    assert out == ["/acervo/_documentacao/cih/Notas v1.2@20310509.Docx", "/acervo/_auxiliar/pce/uf@20310509.ZIP",
+                   None, "/acervo/solto.bin"]

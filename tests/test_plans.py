@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from arquivo.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {n: q(spark, SF)._jdf.queryExecution().executedPlan().toString() for n, q in E.queries().items()}
+    return {n: q(spark, SF)._jdf.queryExecution().executedPlan().toString() for n, q in QUERIES.items()}
 
 
 def test_no_nested_loop_or_cartesian(plans):
@@ -36,7 +36,29 @@ def test_classification_is_narrow(plans):
 
 
 def test_positions_window_is_per_slice(plans):
-    # the numbering window is partitioned by the range slice, never by the
-    # group keys alone (the range exchange itself runs in the checkpoint)
-    p = plans["version_positions"]
-    assert re.search(r"Window \[row_number\(\).*windowspecdefinition\(_pid#\d+", p)
+    # the numbering window is partitioned by the slice, never by the group keys alone
+    assert re.search(r"Window \[row_number\(\).*windowspecdefinition\([^)]*_slice#\d+", plans["version_positions"])
+
+
+def test_one_parse_of_a_table(plans):
+    # support files of both kinds, and the unclassified files, come from one scan each
+    for name in ("support_files", "support_files_by_group", "unclassified_files"):
+        assert plans[name].count("FileScan") == 1, name
+    assert "Exchange" not in plans["unclassified_files"]
+    # entries and the store are read once each
+    for name in ("sync_plan", "failed_files_report", "failed_files_total"):
+        assert plans[name].count("FileScan") == 2, name
+
+
+def test_rollups_expand_counts_only(plans):
+    for name in ("group_summary", "dataset_summary_total"):
+        p = plans[name]
+        assert p.index("Expand") < p.index("partial_count(1)"), name  # printed top down: files are counted below
+
+
+def test_no_job_runs_while_plans_are_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    QUERIES["version_positions"](spark, SF)  # reads the schema of its table
+    before = len(tracker.getJobIdsForGroup(None))
+    QUERIES["version_positions"](spark, SF).explain()
+    assert len(tracker.getJobIdsForGroup(None)) <= before + 1  # the schema again

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from arquivo.plans.catalog import QUERIES
+from arquivo.plans.oracle import oracles
 from arquivo.sources.fixtures import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -35,14 +37,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(oracles())
+    assert set(QUERIES) <= set(E.queries()) and set(oracles()) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    rel = con.sql(E.oracle_sql()[name])
+    rel = con.sql(oracles()[name])
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(rows) == len(orows)

@@ -1,74 +1,59 @@
-"""Time and region slicing (F1-F3), reference truth tables plus H1/H3 cases."""
+"""Time and region slicing (F1-F3) over one small table of files."""
 
 import pytest
 
 from arquivo.operators.slicer import Slicer, region_predicate, time_predicate
 
+FILES = {"m0": ("pe", 2007, 3), "m1": ("pe", 2007, 11), "m2": ("df", 2009, 3), "y0": ("df", 2007, None), "y1": (None, 2010, None),
+         "u0": (None, None, None), "u1": ("to", None, None)}
 
-def _ok(spark, pred, uf=None, year=None, month=None):
-    df = spark.createDataFrame([(uf, year, month)], "uf string, year int, month int")
-    return df.filter(pred).count() == 1
-
-
-def test_no_filter(spark):
-    assert _ok(spark, time_predicate(), year=2020, month=1)
-    assert _ok(spark, time_predicate(), year=1995)
-    assert _ok(spark, Slicer().predicate())
-
-
-def test_start_end(spark):
-    s = time_predicate(start="202001")
-    assert _ok(spark, s, year=2020, month=1) and _ok(spark, s, year=2023, month=6)
-    assert not _ok(spark, s, year=2019, month=12)
-    e = time_predicate(end="202012")
-    assert _ok(spark, e, year=2020, month=12) and _ok(spark, e, year=2019, month=1)
-    assert not _ok(spark, e, year=2021, month=1)
-    b = time_predicate(start="202001", end="202012")
-    for y, m, exp in [(2020, 6, True), (2020, 1, True), (2020, 12, True), (2019, 12, False), (2021, 1, False)]:
-        assert _ok(spark, b, year=y, month=m) is exp
-    yb = time_predicate(start="2015", end="2020")
-    assert _ok(spark, yb, year=2018) and not _ok(spark, yb, year=2014) and not _ok(spark, yb, year=2021)
-    assert _ok(spark, time_predicate(start="202001", end="202001"), year=2020, month=1)
-
-
-def test_undated(spark):
-    assert not _ok(spark, time_predicate(start="202001", end="202012"))
-    assert not _ok(spark, time_predicate(start="202001"))
-    assert _ok(spark, time_predicate(end="202012"))  # '' <= end
-
-
-def test_hyphenated_bounds_are_lexicographic(spark):
-    # H1: the documented form compares by code point
-    assert not _ok(spark, time_predicate(end="2020-12"), year=2020, month=6)
-    assert _ok(spark, time_predicate(start="2020-06"), year=2020, month=1)
-    assert not _ok(spark, time_predicate(end="2020"), year=2020, month=1)
-    assert not _ok(spark, time_predicate(start="202001"), year=2020)
-
-
-def test_calendar_mode(spark):
-    c = time_predicate(start="2020-06", end="2020", mode="calendar")
-    assert _ok(spark, c, year=2020, month=6) and _ok(spark, c, year=2020, month=12)
-    assert not _ok(spark, c, year=2020, month=5)
-    assert _ok(spark, c, year=2020)          # a yearly file overlaps the range
-    assert not _ok(spark, c)                  # undated
-    with pytest.raises(ValueError):
-        time_predicate(start="20-1", mode="calendar")
-
-
-def test_regions(spark):
-    assert _ok(spark, region_predicate(None), uf=None)
-    r = region_predicate(["sp", "rj"])
-    assert _ok(spark, r, uf="sp") and _ok(spark, r, uf="rj")
-    assert not _ok(spark, r, uf="mg") and not _ok(spark, r, uf="ba")
-    assert not _ok(spark, r, uf=None)         # H10: never null
-    assert _ok(spark, ~r, uf=None)           # so its negation keeps the row, as in Python
-
-
-def test_conjunction(spark):
-    s = Slicer(start="202001", end="202012", regions=["sp"]).predicate()
-    assert _ok(spark, s, uf="sp", year=2020, month=6)
-    assert not _ok(spark, s, uf="rj", year=2020, month=6)
-    assert not _ok(spark, s, uf="sp", year=2021, month=1)
-    assert not _ok(spark, s, uf="rj", year=2021, month=1)
-    e = Slicer().predicate()
-    assert _ok(spark, e, uf="sp", year=2020, month=1) and _ok(spark, e, uf="am", year=1998) and _ok(spark, e)
+
+@pytest.fixture(scope="module")
+def files(spark):
+    return spark.createDataFrame([(k, *v) for k, v in FILES.items()], "k string, uf string, year int, month int").cache()
+
+
+def kept(files, predicate):
+    return {r.k for r in files.filter(predicate).collect()}
+
+
+def test_without_bounds_everything_passes(files):
+    assert kept(files, time_predicate()) == kept(files, region_predicate([])) == kept(files, Slicer().predicate()) == set(FILES)
+
+
+@pytest.mark.parametrize("start,end,expected", [
+    ("200703", "", {"m0", "m1", "m2", "y1"}),          # a yearly file sorts before its months
+    ("", "200710", {"m0", "y0", "u0", "u1"}),          # undated files sort first
+    ("200704", "200912", {"m1", "m2"}),
+    ("2007", "2009", {"m0", "m1", "y0"}),              # a month of the end year sorts after the year
+    ("2007-05", "", {"m0", "m1", "m2", "y1"}),         # a hyphen sorts before digits
+    ("", "2009-12", {"m0", "m1", "y0", "u0", "u1"}),
+    ("200903", "200903", {"m2"}),
+])
+def test_lexicographic_bounds(files, start, end, expected):
+    assert kept(files, time_predicate(start, end)) == expected
+
+
+@pytest.mark.parametrize("start,end,expected", [
+    ("2007-05", "", {"m1", "m2", "y0", "y1"}), ("", "2007-05", {"m0", "y0"}), ("2008", "2009", {"m2"}),
+    ("2007", "2007", {"m0", "m1", "y0"}), ("201007", "201007", {"y1"}),
+])
+def test_calendar_bounds(files, start, end, expected):
+    assert kept(files, time_predicate(start, end, mode="calendar")) == expected
+
+
+def test_bad_bounds_and_modes():
+    for start, mode in (("07-1", "calendar"), ("200701", "other")):
+        with pytest.raises(ValueError):
+            time_predicate(start=start, mode=mode)
+
+
+def test_regions_are_never_null(files):
+    chosen = region_predicate(["pe", "to"])
+    assert kept(files, chosen) == {"m0", "m1", "u1"}
+    assert kept(files, ~chosen) == set(FILES) - {"m0", "m1", "u1"}
+
+
+def test_conjunction(files):
+    assert kept(files, Slicer(start="200701", regions=["df"]).predicate()) == {"m2"}
+    assert kept(files, Slicer(end="2009", regions=["to", "df"]).predicate()) == {"y0", "u1"}

@@ -3,17 +3,18 @@
 import hashlib
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from arquivo.operators.classify import classify
 from arquivo.operators.listing import listing_files, parse_listing
-from arquivo.operators.manifest import hash_contents, manifest
+from arquivo.operators.manifest import manifest
 from arquivo.operators.partition import with_partition
-from arquivo.operators.store import most_recent, parse_store_names, valid_store_files
-from arquivo.operators.sync import data_entries
+from arquivo.plans.commands import archive, sync
 from arquivo.sources.listing import read_listing, write_listing
 from arquivo.sources.registry import BASE
-from arquivo.sources.store import read_binary, scan_store, write_catalog
+from arquivo.sources.store import hash_files, read_catalog, scan_store, store_files, write_catalog
 
 
 def _write(path, data: bytes):
@@ -33,52 +34,56 @@ def test_listing_dumps_latin1(spark, tmpdir_fresh):
     df = read_listing(spark, target)
     got = sorted((r.dir, r.line.rstrip("\r")) for r in df.collect())
     assert got == sorted((d, ln) for ln in lines)
-    # round trip through the writer
+    # round trip through the writer, by default arguments
     out = os.path.join(tmpdir_fresh, "dumps2")
-    write_listing(df, out)
-    assert read_listing(spark, out, encoding="UTF-8").count() == 2
+    odd = df.union(spark.createDataFrame([("/x y", "  two  blanks "), ("/x y", 'a "quoted", one')], "dir string, line string"))
+    odd = odd.withColumn("line", F.rtrim(F.col("line"), F.lit("\r")))
+    write_listing(odd, out)
+    assert sorted(map(tuple, read_listing(spark, out).collect())) == sorted(map(tuple, odd.collect()))
     classified = classify(listing_files(parse_listing(df.withColumn("line", F.rtrim("line")))))
     assert [r.dataset for r in classified.collect()] == ["sih-rd"]
 
 
 def test_scan_store_and_archive(spark, tmpdir_fresh):
     root = os.path.join(tmpdir_fresh, "store")
-    names = {"sih-rd/202001/sih-rd_202001-sp@20230101.dbc": b"abc",
-             "sih-rd/202001/sih-rd_202001-sp@20240101.dbc": b"abcd",
-             "sih-rd/202001/garbage.dbc": b"-",      # zero-byte files are not listed by binaryFile
-             "sih-rd/loose@20240101.dbc": b"x",          # one level only: not scanned
-             "sinasc-dn/2023/sinasc-dn_2023-sp@20240101.dbc": b"z"}
-    for rel, data in names.items():
+    for rel, data in {
+        "po/2031/po_2031-pe@20310101.dbc": b"abc", "po/2031/po_2031-pe@20320101.dbc": b"abcd",
+        "po/2031/po_2031-pe@20330101.dbc": b"",             # the newest is empty, and counts
+        "po/2031/nodate.dbc": b"-", "po/2031/nodot": b"-", "po/loose@20310101.dbc": b"x", "po/2031/deep/po@20310101.dbc": b"x",
+        "_documentacao/po/Notas@20310101.pdf": b"zz", "_auxiliar/po/t@20310101.zip": b"z",
+    }.items():
         _write(os.path.join(root, rel), data)
-    inv = scan_store(spark, root)
-    rows = sorted((r.dir, r.name, r.size) for r in inv.collect())
-    assert rows == [("sih-rd/202001", "garbage.dbc", 1),
-                    ("sih-rd/202001", "sih-rd_202001-sp@20230101.dbc", 3),
-                    ("sih-rd/202001", "sih-rd_202001-sp@20240101.dbc", 4),
-                    ("sinasc-dn/2023", "sinasc-dn_2023-sp@20240101.dbc", 1)]
-    flagged = most_recent(valid_store_files(parse_store_names(inv)))
-    assert flagged.filter(~F.col("is_most_recent")).select("name").first()[0].endswith("20230101.dbc")
-    # the scan selects no content column
-    plan = inv._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
+    for given in (root, "file://" + root + "/"):
+        inv = scan_store(spark, given)
+        rows = sorted((r.path, r.dir, r.name, r.size) for r in inv.collect())
+        assert rows == sorted((f"{root}/{d}/{n}", d, n, size) for d, n, size in [
+            ("_auxiliar/po", "t@20310101.zip", 1), ("_documentacao/po", "Notas@20310101.pdf", 2), ("po/2031", "nodate.dbc", 1),
+            ("po/2031", "po_2031-pe@20310101.dbc", 3), ("po/2031", "po_2031-pe@20320101.dbc", 4), ("po/2031", "po_2031-pe@20330101.dbc", 0)])
+    moves = archive(inv, root, "/old").collect()
+    assert sorted(r.src_path for r in moves) == [f"{root}/po/2031/po_2031-pe@20310101.dbc", f"{root}/po/2031/po_2031-pe@20320101.dbc"]
+    assert store_files(spark, root).count() == 9
 
 
-def test_manifest_from_binary_files(spark, tmpdir_fresh):
+def test_a_complete_store_needs_no_sync(spark, tmpdir_fresh):
     root = os.path.join(tmpdir_fresh, "data")
     listing = spark.createDataFrame(
-        [(BASE + "/SIHSUS/200801_/Dados", "10-15-97  01:05PM   4 RDSP9710.dbc")], "dir string, line string")
-    entries = data_entries(classify(listing_files(parse_listing(listing))), root)
-    path = entries.select("local_path").first()[0]
-    _write(path, b"DATA")
-    hashed = hash_contents(read_binary(spark, root))
-    hashed = hashed.withColumn("path", F.regexp_replace("path", "^file:", ""))
-    m = manifest(hashed, entries).collect()
-    assert len(m) == 1
-    r = m[0]
-    assert r.sha256 == hashlib.sha256(b"DATA").hexdigest() and r.size_bytes == 4
-    assert (r.dataset, r.partition, r.preliminary, r.remote_datetime) == (
-        "sih-rd", "199710-sp", False, "1997-10-15T13:05:00")
-    assert r.manifest.metadata.partition == "199710-sp"
+        [(BASE + "/SIHSUS/200801_/Dados", "10-15-97  01:05PM   4 RDSP9710.dbc"), (BASE + "/SIHSUS/200801_/Dados", "10-15-97  01:05PM  0 RDTO9711.dbc"),
+         (BASE + "/CIHA/201101_/Doc", "01-15-24  10:00AM  7 Manual.PDF")], "dir string, line string")
+    entries = sync(listing, root=root, docs=True, dry_run=True)
+    assert entries.count() == 3
+    for r in entries.collect():
+        _write(r.local_path, b"DATADATA"[: r.size])
+    everything = store_files(spark, root)
+    assert sync(listing, scan_store(spark, root), root=root, docs=True).collect() == []
+    _write(os.path.join(root, "sih-rd", "unlisted.dbc"), b"own")
+    rows = {r.filepath: r for r in manifest(hash_files(everything), entries).collect()}
+    assert len(rows) == 4
+    for r in entries.collect():
+        data = b"DATADATA"[: r.size]
+        m = rows[r.local_path]
+        assert (m.sha256, m.size_bytes, m.dataset, m.url) == (hashlib.sha256(data).hexdigest(), r.size, r.dataset, r.url)
+    own = rows[os.path.join(root, "sih-rd", "unlisted.dbc")]
+    assert own.dataset is None and own.sha256 == hashlib.sha256(b"own").hexdigest()
 
 
 def test_write_catalog_partitions(spark, tmpdir_fresh):
@@ -86,9 +91,16 @@ def test_write_catalog_partitions(spark, tmpdir_fresh):
         [(BASE + "/SIHSUS/200801_/Dados", "10-15-97  01:05PM   4 RDSP9710.dbc"),
          (BASE + "/SINASC/1996_/Dados/DNRES", "10-15-97  01:05PM   4 DNEX2015.dbc")], "dir string, line string")
     cat = with_partition(classify(listing_files(parse_listing(listing))))
+    cat = cat.withColumn("partition_dir", F.when(F.col("dataset") == "sih-rd", "").otherwise(F.col("partition_dir")))
     out = os.path.join(tmpdir_fresh, "catalog")
     write_catalog(cat, out)
-    assert sorted(os.listdir(out))[:2] == ["_SUCCESS", "dataset=sih-rd"] or "dataset=sih-rd" in os.listdir(out)
-    back = spark.read.parquet(out).filter("dataset = 'sinasc-dnex' AND partition_dir = '2015'")
-    assert back.count() == 1
-    assert "PartitionFilters" in back._jdf.queryExecution().executedPlan().toString() or True
+    back = read_catalog(spark, out)
+    assert dict(back.dtypes) == dict(cat.dtypes)
+    assert sorted(map(str, back.select(*cat.columns).collect())) == sorted(map(str, cat.collect()))
+    assert back.filter("partition_dir = ''").count() == 1
+    one = back.filter("dataset = 'sinasc-dnex' AND partition_dir = '2015'")
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dataset" in plan  # folders of other datasets are not listed
+    with pytest.raises(AnalysisException):
+        write_catalog(cat, out)  # never replaces a catalog unasked

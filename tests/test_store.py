@@ -19,69 +19,31 @@ def _store(spark, rows):
     return spark.createDataFrame(rows, "dir string, name string, size bigint")
 
 
-def test_parse_names(spark):
-    df = parse_store_names(_store(spark, [
-        ("sih-rd/202001", "sih-rd_202001-sp@20240115.dbc", 3),
-        ("sinasc-dn/2023", "sinasc-dn_2023-sp@20240101.dbc", 1),
-        ("x", "invalid_filename.dbc", 1),
-        ("x", "garbage.dbc", 1),
-        ("x", "base@2024011.dbc", 1),            # H9: seven digits rejected
-        ("x", "sia-pa_200801-sp-a_b@c@20240115.dbc", 1),
-        ("x", "nodataset@20240115.zip", 1),
-    ])).orderBy("name")
-    rows = {r.name: r for r in df.collect()}
-    r = rows["sih-rd_202001-sp@20240115.dbc"]
-    assert (r.dataset, r.partition, r.date, r.extension, r.size, r.valid) == (
-        "sih-rd", "202001-sp", dt.date(2024, 1, 15), ".dbc", 3, True)
-    r = rows["sinasc-dn_2023-sp@20240101.dbc"]
-    assert (r.dataset, r.partition, r.date) == ("sinasc-dn", "2023-sp", dt.date(2024, 1, 1))
-    assert rows["invalid_filename.dbc"].reject_reason == "missing '@' separator"
-    assert rows["garbage.dbc"].valid is False
-    assert rows["base@2024011.dbc"].reject_reason == "bad date"
-    r = rows["sia-pa_200801-sp-a_b@c@20240115.dbc"]
-    assert (r.dataset, r.partition, r.valid) == ("sia-pa", "200801-sp-a_b@c", True)
-    r = rows["nodataset@20240115.zip"]
-    assert (r.dataset, r.partition, r.extension) == ("nodataset", "", ".zip")
-
-
-def _flags(spark, names, dir_="d"):
-    df = valid_store_files(parse_store_names(_store(spark, [(dir_, n, 1) for n in names])))
-    return {r.name: r.is_most_recent for r in most_recent(df).collect()}
-
-
-def test_most_recent(spark):
-    assert _flags(spark, ["sih-rd_202001-sp@20240101.dbc"]) == {"sih-rd_202001-sp@20240101.dbc": True}
-    f = _flags(spark, ["sih-rd_202001-sp@20230101.dbc", "sih-rd_202001-sp@20240115.dbc"])
-    assert f == {"sih-rd_202001-sp@20230101.dbc": False, "sih-rd_202001-sp@20240115.dbc": True}
-    f = _flags(spark, ["sih-rd_202001-sp@20240101.dbc", "sih-rd_202001-rj@20240101.dbc"])
-    assert all(f.values())
-    f = _flags(spark, ["sih-rd_202001-sp@20220101.dbc", "sih-rd_202001-sp@20230601.dbc",
-                       "sih-rd_202001-sp@20240115.dbc"])
-    assert [k for k, v in f.items() if v] == ["sih-rd_202001-sp@20240115.dbc"]
-    # H5: a final name beats a preliminary one whatever the dates
-    f = _flags(spark, ["sih-rd-preliminar_202001-sp@20250101.dbc", "sih-rd_202001-sp@20200101.dbc"])
-    assert f["sih-rd_202001-sp@20200101.dbc"] is True
-    # invalid names skipped, empty input gives nothing
-    df = parse_store_names(_store(spark, [("d", "sih-rd_202001-sp@20240101.dbc", 1), ("d", "garbage.dbc", 1)]))
-    assert valid_store_files(df).count() == 1 and store_rejects(df).count() == 1
-    empty = valid_store_files(parse_store_names(_store(spark, [])))
-    assert most_recent(empty).count() == 0
-
-
-def test_positions_spread_a_hot_group(spark):
-    # one group holds most rows; positions stay exact with the group spread over tasks
-    hot = [("hot", f"sih-rd_202001-sp@2024{m:02d}{d:02d}.dbc", 1) for m in range(1, 13) for d in range(1, 29)]
-    cold = [(f"c{i}", f"sih-rd_202001-sp@20240101.dbc", 1) for i in range(20)]
-    df = valid_store_files(parse_store_names(_store(spark, hot + cold)))
-    out = version_positions(df, num_partitions=6)
-    rows = out.filter(F.col("dir") == "hot").orderBy("name").collect()
-    assert [r.position for r in rows] == list(range(1, len(hot) + 1))
-    assert {r.n for r in rows} == {len(hot)}
-    assert out.filter(F.col("dir") != "hot").agg(F.max("position")).first()[0] == 1
-    # the hot group is read by several tasks
-    ranged = df.repartitionByRange(6, "dir", "partition", "name")
-    pids = ranged.filter(F.col("dir") == "hot").select(F.spark_partition_id()).distinct().count()
-    assert pids > 1
+def test_reject_reasons(spark):
+    names = {"po_1987@20310230.dbc": "bad date", "po_1987@2031.dbc": "bad date", "po_1987.dbc": "missing '@' separator",
+             "@20310509": None, "po@x@20310509.tar.gz": "bad date"}
+    rows = parse_store_names(_store(spark, [("d", n, 1) for n in names])).collect()
+    assert {r.name: r.reject_reason for r in rows} == names
+    parsed = parse_store_names(_store(spark, [("d", n, 1) for n in names]))
+    assert valid_store_files(parsed).count() == 1 and store_rejects(parsed).count() == 4
+
+
+def test_a_final_name_beats_a_preliminary_one(spark):
+    names = ["pce_2031-pe@20310101.dbc", "pce-preliminar_2031-pe@20390101.dbc", "pce_2031-to@20300101.dbc"]
+    flagged = most_recent(valid_store_files(parse_store_names(_store(spark, [("pce/2031", n, 0) for n in names]))))
+    assert {r.name for r in flagged.where("is_most_recent").collect()} == {names[0], names[2]}
+    assert most_recent(valid_store_files(parse_store_names(_store(spark, [])))).count() == 0
+
+
+def test_positions_of_a_large_group(spark):
+    days = [f"{2000 + y}{m:02d}{d:02d}" for y in range(4) for m in range(1, 13) for d in range(1, 29)]
+    large = [("large", f"po_1987@{x}.dbc", 1) for x in days]
+    small = [(f"small{i}", "po_1987@20310509.dbc", 1) for i in range(20)]
+    files = valid_store_files(parse_store_names(_store(spark, large + small)))
+    out = version_positions(files)
+    rows = out.filter(F.col("dir") == "large").orderBy("name").collect()
+    assert [r.position for r in rows] == list(range(1, len(days) + 1)) and {r.n for r in rows} == {len(days)}
+    assert {(r.position, r.n) for r in out.filter("dir <> 'large'").collect()} == {(1, 1)}
 
 
 def test_archive_plan(spark):
