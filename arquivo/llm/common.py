@@ -10,9 +10,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Broadcast a counted table up to this many rows (narrow rows only: about 64 MB);
-#: a larger one is joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Broadcast a counted table up to this many rows (narrow rows only: some 20 MB); a larger
+#: one is joined by a shuffle.
+BROADCAST_ROWS = 300_000
 
 #: The characters that separate words, as Java regex class and as SQL literal.
 SPACES = r"[\x20\x09-\x0D]"

@@ -73,9 +73,11 @@ def line_links(lines):
     """Pairs of indexes: classes of equal SimHash by their first line, then near classes."""
     sims, keys = [line_simhash(x.split(" ")) for x in lines], [line_hash(x.split(" ")) for x in lines]
 
+    codes = [[line_hash([w]) % 55_000 for w in x.split(" ")] for x in lines]
+
     def alike(i, j):
-        a, b = lines[i], lines[j]
-        return levenshtein(a, b) <= max(len(a), len(b)) // 10
+        a, b = codes[i], codes[j]
+        return levenshtein(a, b) <= max(len(a), len(b)) // 5
 
     pairs, nodes = [], []
     for sim in set(sims):
