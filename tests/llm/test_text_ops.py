@@ -58,12 +58,12 @@ def test_simhash_equals_brute_force(docs, texts):
 def test_simhash_takes_crowded_nodes_apart(spark):
     rng = random.Random(3)
     centre = rng.getrandbits(64)
-    fps = {centre} | {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 4))) for _ in range(300)}
-    fps |= {rng.getrandbits(64) for _ in range(100)} | {0, brute.MASK, 1 << 63, 7}
+    fps = {centre} | {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 4))) for _ in range(150)}
+    fps |= {rng.getrandbits(64) for _ in range(50)} | {0, brute.MASK, 1 << 63, 7}
     fps = sorted(fps)
     signed = [x - 2**64 if x >> 63 else x for x in fps]
     frame = spark.createDataFrame([(x,) for x in signed], "fp long")
-    found = simhash.links(frame, node_rows=16).collect()
+    found = simhash.links(frame, node_rows=64).collect()
     at = {x: i for i, x in enumerate(signed)}
     assert brute.components(len(fps), [(at[r.a], at[r.b]) for r in found]) == brute.components(len(fps), brute.near(fps, 3))
 
