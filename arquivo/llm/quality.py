@@ -196,6 +196,7 @@ def op3_quality(spark, sf_dir: str) -> DataFrame:
 
 def stage_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: rejected documents go."""
-    keep = op3_quality_docs(spark, docs, sf_dir).where("kept").select("id", "rid").distinct()
-    on = F.expr("xxhash64(d.doc_id, d.text) = k.rid AND d.doc_id <=> k.id")
-    return docs.alias("d").join(keep.alias("k"), on, "left_semi")
+    verdict = op3_quality_docs(spark, docs, sf_dir)
+    gone = common.settle(verdict.where("NOT kept").select("id", "rid").distinct(), "quality-gone")
+    on = F.expr("xxhash64(d.doc_id, d.text) = g.rid AND d.doc_id <=> g.id")
+    return common.join_counted(docs.alias("d"), gone.alias("g"), on, "left_anti", gone.count())

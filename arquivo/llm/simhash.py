@@ -236,5 +236,6 @@ def op1_simhash(spark, sf_dir: str) -> DataFrame:
 def stage_simhash(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: of each group of near-duplicates the document with the
     smallest id stays (rows repeated with that id are the same document)."""
-    keep = simhash_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component"))).select("doc_id").distinct()
-    return docs.alias("d").join(keep.alias("k"), F.expr("d.doc_id <=> k.doc_id"), "left_semi")
+    named = simhash_groups(docs).groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component"))).alias("stays"))
+    gone = common.settle(named.where("NOT stays").select("doc_id"), "simhash-gone")
+    return common.join_counted(docs.alias("d"), gone.alias("g"), F.expr("d.doc_id <=> g.doc_id"), "left_anti", gone.count())
