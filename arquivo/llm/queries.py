@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arquivo.llm import chat, clustering, decontam, langid, lines, packing, quality, simhash, tokens, toxicity, warc
+from arquivo.llm import chat, clustering, decontam, langid, lines, packing, quality, simhash, spelling, tokens, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_langid": langid.op8_langid,
     "op9_packing": packing.op9_packing,
     "op10_warc": warc.op10_warc,
+    "op11_spelling": spelling.op11_spelling,
     "op13_centroids": clustering.op13_centroids,
 }
 
@@ -22,5 +23,6 @@ ORACLES: dict[str, str] = {
     "op2_chat": chat.ORACLE,
     "op4_decontam": decontam.ORACLE,
     "op10_warc": warc.ORACLE,
+    "op11_spelling": spelling.ORACLE,
     "op13_centroids": clustering.ORACLE,
 }
