@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import os
 import tempfile
@@ -51,7 +52,20 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     and Catalyst knows its size."""
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    settled = df.sparkSession.read.schema(df.schema).parquet(path)
+    settled.settled_path = path
+    return settled
+
+
+def free(*frames: DataFrame) -> None:
+    """Delete tables that ``settle`` wrote and nothing reads any more. The shuffles behind them
+    go once the driver has collected the frames that made them, so it is asked to."""
+    for df in frames:
+        jvm, path = df.sparkSession._jvm, df.settled_path
+        hadoop = jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
+    gc.collect()
+    frames[0].sparkSession._jvm.System.gc()
 
 
 def join_counted(left: DataFrame, right: DataFrame, on, how: str, rows: int) -> DataFrame:

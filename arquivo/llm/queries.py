@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arquivo.llm import chat, clustering, decontam, langid, lines, packing, quality, simhash, spelling, tokens, toxicity, warc
+from arquivo.llm import chat, clustering, decontam, langid, lines, packing, quality, simhash, spelling, substrings, tokens, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_warc": warc.op10_warc,
     "op11_spelling": spelling.op11_spelling,
+    "op12_substrings": substrings.op12_substrings,
     "op13_centroids": clustering.op13_centroids,
 }
 
@@ -24,5 +25,6 @@ ORACLES: dict[str, str] = {
     "op4_decontam": decontam.ORACLE,
     "op10_warc": warc.ORACLE,
     "op11_spelling": spelling.ORACLE,
+    "op12_substrings": substrings.ORACLE,
     "op13_centroids": clustering.ORACLE,
 }
