@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import math
 import os
 import tempfile
@@ -15,6 +14,9 @@ from pyspark.sql import functions as F
 #: one is joined by a shuffle.
 BROADCAST_ROWS = 300_000
 
+#: Spark's setting for dropping the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: The characters that separate words, as Java regex class and as SQL literal.
 SPACES = r"[\x20\x09-\x0D]"
 
@@ -50,22 +52,24 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: several consumers
     read one table, the lineage ends there (a lost executor costs no earlier stage),
     and Catalyst knows its size."""
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    path, conf = shared_path(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
     settled = df.sparkSession.read.schema(df.schema).parquet(path)
     settled.settled_path = path
     return settled
 
 
 def free(*frames: DataFrame) -> None:
-    """Delete tables that ``settle`` wrote and nothing reads any more. The shuffles behind them
-    go once the driver has collected the frames that made them, so it is asked to."""
+    """Delete tables that ``settle`` wrote and nothing reads any more."""
     for df in frames:
         jvm, path = df.sparkSession._jvm, df.settled_path
         hadoop = jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
-    gc.collect()
-    frames[0].sparkSession._jvm.System.gc()
 
 
 def join_counted(left: DataFrame, right: DataFrame, on, how: str, rows: int) -> DataFrame:

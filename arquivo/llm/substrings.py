@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from arquivo.llm import common
 
-K, SEED = 20, 5
+K, SEED = 20, 8
 #: A document's requests for text are split into lists of about this many.
 REQUESTS = 10_000
 _ODD = 0x9E3779B97F4A7C15
@@ -144,7 +144,7 @@ def _asked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _edges(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(mini, hash, id, rid, at, j, n, edge, u, v) of the asked pieces (mini, hash, at, n, whole):
+    """(mini, hash, copies, id, rid, at, j, n, edge, u, v) of the asked pieces (mini, hash, at, n, whole, copies):
     a whole piece is one edge, of another every window j is one; u and v are hashes of its nodes."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,15 +160,15 @@ def _edges(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                     j = np.arange(len(of)) - np.repeat(np.cumsum(rows) - rows, rows)
                     length = np.where(whole, n, 1)[of]
                     at = np.array([a["at"] for a in asked])[of] + j
-                    mini, hash = (np.array([a[c] for a in asked], np.int64)[of] for c in ("mini", "hash"))
-                    yield (mini, hash, [id.as_py()] * len(of), np.full(len(of), rid.as_py(), np.int64), at.astype(np.int32), j.astype(np.int32),
+                    mini, hash, copies = (np.array([a[c] for a in asked], np.int64)[of] for c in ("mini", "hash", "copies"))
+                    yield (mini, hash, copies, [id.as_py()] * len(of), np.full(len(of), rid.as_py(), np.int64), at.astype(np.int32), j.astype(np.int32),
                            length.astype(np.int32), hashes.of(at, length + k - 1), hashes.of(at, k - 1), hashes.of(at + length, k - 1))
 
-            yield from _batches([("mini", pa.int64()), ("hash", pa.int64()), ("id", kind), ("rid", pa.int64()), ("at", pa.int32()), ("j", pa.int32()),
+            yield from _batches([("mini", pa.int64()), ("hash", pa.int64()), ("copies", pa.int64()), ("id", kind), ("rid", pa.int64()), ("at", pa.int32()), ("j", pa.int32()),
                                  ("n", pa.int32()), ("edge", pa.int64()), ("u", pa.int64()), ("v", pa.int64())], cut())
 
     texts = _asked(rows, wanted)
-    return texts.mapInArrow(of, f"mini long, hash long, {_id(rows)}, rid long, at int, j int, n int, edge long, u long, v long")
+    return texts.mapInArrow(of, f"mini long, hash long, copies long, {_id(rows)}, rid long, at int, j int, n int, edge long, u long, v long")
 
 
 def _digests(rows: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -216,8 +216,8 @@ def repeated_spans(rows: DataFrame, k: int = K) -> DataFrame:
     single = kind.groupBy("mini").agg(F.count("*").alias("kinds")).where("kinds = 1").select("mini", F.lit(True).alias("whole"))
     kind = kind.join(single, "mini", "left").withColumn("whole", F.coalesce("whole", F.lit(False)))
     kind = common.settle(kind.where("copies > 1 OR NOT whole"), "substring-edges-of")
-    wanted = kind.select("source.id", "source.rid", F.struct("mini", "hash", "source.at", "n", "whole").alias("ask"))
-    cut = common.settle(_edges(rows, wanted, k).join(kind.select("mini", "hash", "copies"), ["mini", "hash"]), "substring-edges")
+    wanted = kind.select("source.id", "source.rid", F.struct("mini", "hash", "source.at", "n", "whole", "copies").alias("ask"))
+    cut = common.settle(_edges(rows, wanted, k), "substring-edges")
     edge = cut.groupBy("mini", "edge").agg(
         F.max("n").alias("n"), F.max("u").alias("u"), F.max("v").alias("v"), F.sum("copies").alias("copies"),
         F.min(F.struct("id", "rid", "at")).alias("source")).where("copies > 1").drop("copies")
