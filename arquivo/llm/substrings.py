@@ -117,7 +117,7 @@ def _cut(rows: DataFrame, k: int) -> DataFrame:
 
             def cut():
                 for id, rid, text in zip(batch.column("id").to_pylist(), batch.column("rid").to_pylist(), batch.column("text")):
-                    mini, hash, at, n = pieces(_words(text.as_py()), k)
+                    mini, hash, at, n = pieces(_words(text.as_py()), k, max(1, min(SEED, k // 2)))
                     if len(at):
                         yield [id] * len(at), np.full(len(at), rid, np.int64), mini, hash, at.astype(np.int32), n.astype(np.int32)
 
