@@ -113,17 +113,17 @@ def reachable_dirs(subdirs: DataFrame, starts: DataFrame, max_depth: int = 3) ->
     reachable from a start directory through ``<DIR>`` entries, at most
     ``max_depth`` levels down (the start itself has depth 0).
 
-    A bounded breadth-first walk: ``max_depth`` joins of the frontier with the
-    (parent, child) edges; the frontier is as small as the directory tree."""
-    frontier = starts.select(F.col("dir").alias("start_dir"), F.col("dir"), F.lit(0).alias("depth"))
-    out = frontier
-    edges = subdirs.select(F.col("parent").alias("_parent"), F.col("child").alias("_child"))
-    for level in range(1, max_depth + 1):
-        frontier = frontier.join(edges, F.col("dir") == F.col("_parent"), "inner").select(
-            "start_dir", F.col("_child").alias("dir"), F.lit(level).alias("depth")
-        )
-        out = out.unionByName(frontier)
-    return out
+    One recursive query with a bound of its levels. A directory reached in several ways, as in
+    a cycle of links, is one row with its least depth; starts given twice count once."""
+    spark = subdirs.sparkSession
+    return spark.sql(
+        """WITH RECURSIVE walk(start_dir, dir, depth) MAX RECURSION LEVEL {levels} AS (
+             SELECT DISTINCT dir, dir, 0 FROM {starts} WHERE dir IS NOT NULL
+             UNION ALL
+             SELECT w.start_dir, s.child, w.depth + 1 FROM walk w JOIN {subdirs} s ON s.parent = w.dir WHERE w.depth < {most})
+           SELECT start_dir, dir, min(depth) AS depth FROM (SELECT * FROM walk LIMIT ALL) GROUP BY start_dir, dir""".replace(
+            "{levels}", str(max_depth + 2)),
+        starts=starts.select("dir"), subdirs=subdirs.select("parent", "child").distinct(), most=max_depth)
 
 
 def files_in_walk(files: DataFrame, walk: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ are read (``sha2`` on the binary column), per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MEGA = 1_000_000
 
@@ -55,6 +56,23 @@ def manifest(hashed: DataFrame, entries: DataFrame, path_col: str = "path",
     )
 
 
+#: The record of one stored file, as it is written to JSON.
+RECORD = ("url string, size bigint, filepath string, suffix string, dataset string, created_at timestamp_ntz, manifest struct<sha256: string, "
+          "size_bytes: bigint, metadata: struct<partition: string, preliminary: boolean, remote_datetime: string>>")
+
+
+def write_manifest(rows: DataFrame, path: str, mode: str = "error") -> None:
+    """K3: store a manifest as nested JSON records, one a line; null fields are written too."""
+    names = T.StructType.fromDDL(RECORD).names
+    rows.select(*names).write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The records that ``write_manifest`` stored, typed by ``RECORD``; a line that is no such
+    record raises instead of reading as nulls."""
+    return spark.read.schema(RECORD).option("mode", "FAILFAST").json(path)
+
+
 def transfer_stats(log: DataFrame) -> DataFrame:
     """A9 per transfer: size_mb = bytes / 10^6, rate_mbps = bytes * 8 / s / 10^6
     (null when the time is zero)."""

@@ -42,6 +42,23 @@ def time_predicate(start: str = "", end: str = "", mode: str = "lexicographic",
     return F.coalesce(cond, F.lit(False))
 
 
+def partition_time_predicate(period: Column, start: str = "", end: str = "", mode: str = "lexicographic") -> Column:
+    """``time_predicate`` on a partition directory's period text ('YYYY', 'YYYYMM' or '')."""
+    if mode not in ("lexicographic", "calendar"):
+        raise ValueError(f"unknown slicing mode {mode!r}")
+    cond = F.lit(True)
+    if mode == "lexicographic":
+        cond = cond & (period >= start) if start else cond
+        return cond & (period <= end) if end else cond
+    number = F.try_to_number(period, F.lit("999999")).cast("int")
+    yearly = F.length(period) == 4
+    if start:
+        cond = cond & (F.when(yearly, number * 100 + 12).otherwise(number) >= _bound(start, first=True))
+    if end:
+        cond = cond & (F.when(yearly, number * 100 + 1).otherwise(number) <= _bound(end, first=False))
+    return F.coalesce(cond, F.lit(False))
+
+
 def _bound(text: str, first: bool) -> int:
     digits = text.replace("-", "")
     if not digits.isdigit() or len(digits) not in (4, 6):
@@ -68,5 +85,9 @@ class Slicer:
     def predicate(self) -> Column:
         return region_predicate(self.regions) & time_predicate(self.start, self.end, self.mode)
 
+    def partition_predicate(self, period: Column) -> Column:
+        """The time bounds on the period text of a stored partition; regions are not in it."""
+        return partition_time_predicate(period, self.start, self.end, self.mode)
+
     def __call__(self, df: DataFrame) -> DataFrame:
         return df.filter(self.predicate())

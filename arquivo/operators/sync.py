@@ -17,7 +17,6 @@ from arquivo.operators.partition import support_local_path, with_stored_path
 from arquivo.sources import registry as reg
 
 KINDS = ("doc", "aux")
-NO_PARTITION = "—"
 
 
 def data_entries(classified: DataFrame, root: str = "/data") -> DataFrame:
@@ -94,11 +93,10 @@ def select_types(entries: DataFrame, types: Sequence[str]) -> DataFrame:
 
 def catalog_entries(entries: DataFrame) -> DataFrame:
     """U2 as the archive tool lists a catalog: id (the file's name), url, group and dataset
-    (both the dataset's key), partition (``NO_PARTITION`` for a data file without one, null
-    for support files), type, size."""
-    partition = F.when(F.col("partition") == "", NO_PARTITION).otherwise(F.col("partition"))
+    (both the dataset's key), partition (empty for a data file without one, null for
+    support files), type, size."""
     return entries.select(F.col("filename").alias("id"), "url", F.col("dataset").alias("group"), "dataset",
-                          partition.alias("partition"), "type", "size")
+                          "partition", "type", "size")
 
 
 def sync_status(entries: DataFrame, local: DataFrame, path_col: str = "path", size_col: str = "size") -> DataFrame:

@@ -1,13 +1,16 @@
 """End-to-end catalog plans over the driver's tables.
 
 Each function takes (spark, sf_dir) and returns a DataFrame; nothing is
-collected. The listing is derived from ``orders`` and the store inventory from
+collected; those of stored tables write them in the session's shared folder first. The listing is derived from ``orders`` and the store inventory from
 ``lineitem`` (see ``arquivo.sources.fixtures``); they are whole tables, never
 sampled.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +23,10 @@ from arquivo.operators import summary as SU
 from arquivo.operators import sync as SY
 from arquivo.operators.partition import with_partition
 from arquivo.operators.slicer import Slicer
+from arquivo.session import scratch_path
 from arquivo.sources import fixtures as fx
 from arquivo.sources import registry as reg
+from arquivo.sources import store as S
 
 ROOT = "/data"
 ARCHIVE_ROOT = "/archive"
@@ -319,6 +324,93 @@ def q_manifest_by_path(spark, sf):
     return M.manifest(stored, e).select("url", "filepath", "dataset", "sha256", "size_bytes", "partition", "remote_datetime")
 
 
+def q_store_manifest(spark, sf):
+    """Every document written as a file of a store, at the stored path of the entry of its number
+    or, where there is none or a smaller number has it, under ``unlisted``; then the store is
+    listed, its files hashed, and met with the entries by path."""
+    e = entries(spark, sf)
+    at = e.where("id IS NOT NULL").groupBy("local_path").agg(F.min("id").alias("doc_id"))
+    rel = F.coalesce(F.substring(F.col("local_path"), len(ROOT) + 2, 1 << 20), F.concat(F.lit("unlisted/"), F.col("doc_id").cast("string")))
+    files = (fx.table(spark, sf, "documents").join(at, "doc_id", "left")
+             .select(rel.alias("path"), F.col("text").cast("binary").alias("content")))
+    root = _scratch(spark, "store")
+    commits = S.write_files(files, f"{root}/files", f"{root}/commits")
+    stored = S.hash_files(S.store_files(spark, f"{root}/files"), root)
+    stored = stored.withColumn("path", F.concat(F.lit(ROOT + "/"), F.col("dir"), F.lit("/"), F.col("name")))
+    known = commits.select(F.concat(F.lit(ROOT + "/"), F.col("path")).alias("path"), "sha256").withColumn("committed", F.lit(True))
+    m = M.manifest(stored.join(known, ["path", "sha256"], "left_semi"), e)
+    return m.select("url", "size", "filepath", "suffix", "dataset", "sha256", "size_bytes", "partition", "preliminary", "remote_datetime")
+
+
+def q_manifest_json(spark, sf):
+    """The manifest stored as nested JSON records and read back."""
+    path = _scratch(spark, "manifest")
+    M.write_manifest(_manifest(spark, sf), path)
+    r = M.read_manifest(spark, path)
+    return r.select("url", "size", "filepath", "suffix", "dataset", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+                    "manifest.sha256", "manifest.size_bytes", "manifest.metadata.*")
+
+
+def _scratch(spark, name):
+    return f"{scratch_path(spark, name)}-{uuid.uuid4().hex}"
+
+
+REWRITTEN = ["sih-rd", "sim-do-cid10", "sia-pa"]
+
+
+def stored_catalog(spark, sf):
+    """The classified files as a stored catalog: written whole, then some datasets again."""
+    path = _scratch(spark, "catalog")
+    rows = with_partition(classified(spark, sf))
+    S.write_catalog(rows, path, mode="replace")
+    S.write_catalog(S.read_slice(spark, path, datasets=REWRITTEN).select(*rows.columns), path, mode="replace")
+    return path
+
+
+def q_catalog_roundtrip(spark, sf):
+    r = S.read_catalog(spark, stored_catalog(spark, sf))
+    return r.select(*CLASS_COLS, _ts("datetime").alias("datetime"), "partition", "partition_dir")
+
+
+def q_catalog_slice(spark, sf):
+    """All slices of the stored catalog, the last one for some datasets of a table only."""
+    path = stored_catalog(spark, sf)
+    wanted = spark.createDataFrame([(d,) for d in SELECTED], "dataset string")
+    parts = [S.read_slice(spark, path, s, wanted if name == "slice_both" else None)
+             .select(F.lit(name).alias("slice"), *SLICE_COLS) for name, s in SLICES.items()]
+    return reduce(DataFrame.union, parts)
+
+
+def directory_listing_sql() -> str:
+    """Directory lines of a tree up to five levels deep, one for each order."""
+    return """SELECT d.dir, '01-02-20  03:04PM  <DIR>  ' || d.name AS line FROM (
+SELECT '/tree/' || CAST(t AS STRING)
+    || CASE WHEN lvl > 0 THEN '/a' || CAST(a AS STRING) ELSE '' END || CASE WHEN lvl > 1 THEN '/b' || CAST(b AS STRING) ELSE '' END
+    || CASE WHEN lvl > 2 THEN '/c' || CAST(c AS STRING) ELSE '' END || CASE WHEN lvl > 3 THEN '/d' || CAST(d AS STRING) ELSE '' END AS dir,
+  CASE lvl WHEN 0 THEN 'a' || CAST(a AS STRING) WHEN 1 THEN 'b' || CAST(b AS STRING) WHEN 2 THEN 'c' || CAST(c AS STRING)
+    WHEN 3 THEN 'd' || CAST(d AS STRING) ELSE 'e' || CAST(b AS STRING) END AS name
+FROM (SELECT o_custkey % 40 AS t, o_orderkey % 5 AS lvl, o_orderkey % 3 AS a, o_orderkey % 7 AS b, o_orderkey % 2 AS c, o_orderkey % 11 AS d FROM orders) k) d"""
+
+
+def q_directory_walk(spark, sf):
+    """F6 over ``<DIR>`` entries, from every second directory of the tree's first level."""
+    fx.table(spark, sf, "orders").createOrReplaceTempView("orders")
+    lines = spark.sql(directory_listing_sql())
+    starts = fx.table(spark, sf, "orders").where("o_custkey % 2 = 0").select(
+        F.concat(F.lit("/tree/"), (F.col("o_custkey") % 40).cast("string")).alias("dir"))
+    return LS.reachable_dirs(LS.listing_subdirs(LS.parse_listing(lines)), starts, 3)
+
+
+def q_dry_run_report(spark, sf):
+    """R2 as one stored report: its lines in order, a blank one and the total."""
+    e = dry_run_entries(spark, sf)
+    lines = R.dry_run_lines(e, "type", "dataset")
+    total = R.dry_run_total_line(SY.dry_run_total(e)).select(F.lit(0).alias("position"), "line")
+    path = _scratch(spark, "report")
+    R.write_report(R.ordered_report(lines, ["type", "dataset", "url"], footer=total), path, ["type", "dataset", "url"])
+    return R.read_report(spark, path)
+
+
 def transfer_log(spark, sf):
     ev = fx.table(spark, sf, "events")
     return ev.select(
@@ -405,6 +497,12 @@ QUERIES = {
     "archive_plan": q_archive_plan,
     "manifest": q_manifest,
     "manifest_by_path": q_manifest_by_path,
+    "store_manifest": q_store_manifest,
+    "manifest_json": q_manifest_json,
+    "catalog_roundtrip": q_catalog_roundtrip,
+    "catalog_slice": q_catalog_slice,
+    "directory_walk": q_directory_walk,
+    "dry_run_report": q_dry_run_report,
     "transfer_stats": q_transfer_stats,
     "transfer_totals": q_transfer_totals,
     "report_lines": q_report_lines,

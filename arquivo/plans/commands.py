@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arquivo.operators import classify as C
@@ -49,15 +49,18 @@ def list_datasets(listing: DataFrame, datasets: Sequence[str] | None = None) ->
 def sync(listing: DataFrame, local: DataFrame | None = None, *, root: str = "/data",
          datasets: Sequence[str] | None = None, start: str = "", end: str = "",
          regions: Sequence[str] | None = None, docs: bool = False, aux: bool = False,
-         dry_run: bool = False, resolve: str = "dataset", slicing: str = "lexicographic") -> DataFrame:
+         dry_run: bool = False, resolve: str = "dataset", slicing: str = "lexicographic", where: Column | None = None) -> DataFrame:
     """``sync``: the entries to fetch, with url, size and local path.
 
     ``local`` is the local inventory as (path, size), for example ``scan_store`` of the
-    root; it is ignored for a dry run, which lists without checking the store. Building the
-    plan runs no job and writes nothing."""
+    root; it is ignored for a dry run, which lists without checking the store. ``where`` is any
+    further condition on the data files (dataset, uf, year, month, version, preliminary, size, datetime, url, ...); like
+    the other bounds it leaves support files alone. Building the plan runs no job and writes nothing."""
     files = LS.listing_files(LS.parse_listing(listing))
     cls = SU.select_datasets(C.classify(files), list(datasets or []))
     entries = SY.data_entries(Slicer(start, end, regions, slicing)(cls), root)
+    if where is not None:
+        entries = entries.where(where)
     kinds = [k for k, on in (("doc", docs), ("aux", aux)) if on]
     if kinds:
         entries = SY.catalog_union(entries, SY.support_entries(files, kinds, list(datasets or []), resolve, root))

@@ -338,7 +338,7 @@ def oracles() -> dict[str, str]:
         "SELECT id, type, dataset, url, size, local_path FROM entries UNION ALL "
         "SELECT id, type, dataset, url, size, local_path FROM support WHERE type = 'doc'"))
     o["catalog_entries"] = _with(*_support_ctes("dataset"), select=(
-        "SELECT filename AS id, url, dataset AS \"group\", dataset, CASE WHEN partition = '' THEN '—' ELSE partition END AS partition, "
+        "SELECT filename AS id, url, dataset AS \"group\", dataset, partition, "
         "type, size FROM entries UNION ALL "
         "SELECT filename, url, dataset, dataset, CAST(NULL AS VARCHAR), type, size FROM support"))
     o["support_files"] = _with(*_support_ctes("dataset"), select=(
@@ -377,6 +377,40 @@ def oracles() -> dict[str, str]:
             "SELECT e.url, h.path AS filepath, e.dataset, h.sha256, h.size_bytes, e.partition, "
             "strftime(e.ts, '%Y-%m-%dT%H:%M:%S') AS remote_datetime "
             "FROM hashed h LEFT JOIN entries e ON h.path = e.local_path"))
+    o["store_manifest"] = _with(
+        "holder AS (SELECT local_path, min(id) AS doc_id FROM entries GROUP BY local_path)",
+        "files AS (SELECT sha256(d.text) AS sha256, CAST(octet_length(encode(d.text)) AS BIGINT) AS size_bytes, "
+        f"COALESCE(h.local_path, '{P.ROOT}/unlisted/' || CAST(d.doc_id AS VARCHAR)) AS path "
+        "FROM documents d LEFT JOIN holder h ON d.doc_id = h.doc_id)",
+        select=(
+            "SELECT e.url, e.size, f.path AS filepath, e.extension AS suffix, e.dataset, f.sha256, f.size_bytes, e.partition, e.preliminary, "
+            "strftime(e.ts, '%Y-%m-%dT%H:%M:%S') AS remote_datetime FROM files f LEFT JOIN entries e ON f.path = e.local_path"))
+    o["manifest_json"] = _with(
+        "hashed AS (SELECT doc_id, sha256(text) AS sha256, "
+        "CAST(octet_length(encode(text)) AS BIGINT) AS size_bytes FROM documents)",
+        select=(
+            "SELECT e.url, e.size, COALESCE(e.local_path, CAST(h.doc_id AS VARCHAR)) AS filepath, e.extension AS suffix, "
+            f"e.dataset, {TS.replace('ts', 'e.ts', 1)} AS created_at, h.sha256, h.size_bytes, "
+            "e.partition, e.preliminary, strftime(e.ts, '%Y-%m-%dT%H:%M:%S') AS remote_datetime "
+            "FROM hashed h LEFT JOIN entries e ON h.doc_id = e.id"))
+    o["catalog_roundtrip"] = _with(select=CLASS_SELECT.replace("FROM cls", ", partition, partition_dir FROM keyed"))
+    selected = ", ".join(_q(d) for d in P.SELECTED)
+    o["catalog_slice"] = _with(select=" UNION ALL ".join(
+        f"SELECT {_q(name)} AS slice, id, dataset, uf, year, month FROM cls WHERE {_slice_where(s)}"
+        + (f" AND dataset IN ({selected})" if name == "slice_both" else "") for name, s in P.SLICES.items()))
+    o["directory_walk"] = f"""
+WITH RECURSIVE lines AS ({P.directory_listing_sql()}),
+subdirs AS (SELECT DISTINCT dir AS parent, dir || '/' || regexp_extract(line, '<DIR>  (.*)$', 1) AS child FROM lines),
+walk(start_dir, dir, depth) AS (
+  SELECT DISTINCT '/tree/' || CAST(o_custkey % 40 AS VARCHAR), '/tree/' || CAST(o_custkey % 40 AS VARCHAR), 0 FROM orders WHERE o_custkey % 2 = 0
+  UNION ALL SELECT w.start_dir, s.child, w.depth + 1 FROM walk w JOIN subdirs s ON s.parent = w.dir WHERE w.depth < 3)
+SELECT start_dir, dir, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY start_dir, dir"""
+    o["dry_run_report"] = _with(*_dry_run_ctes(), select=(
+        "SELECT row_number() OVER (ORDER BY section, type, dataset, url, line) AS position, line FROM ("
+        "SELECT 1 AS section, type, dataset, url, printf('%-27s', dataset) || ' ' || printf('%-20s', COALESCE(partition, '')) || ' ' || "
+        f"printf('%9s', {_mb('size')}) || ' MB  ' || url AS line FROM dry UNION ALL SELECT 2, '', '', '', '' UNION ALL "
+        "SELECT 3, '', '', '', 'Total: ' || CAST(count(*) AS VARCHAR) || ' files, ' || "
+        f"{_mb('COALESCE(sum(COALESCE(size, 0)), 0)', 30, 2)} || ' GB' FROM dry) r"))
     o["transfer_stats"] = _events("SELECT filename, dataset, size, seconds, size_mb, rate_mbps FROM tstats")
     o["transfer_totals"] = _events(
         "SELECT dataset, count(*) AS n_files, CAST(sum(size) AS BIGINT) AS total_bytes, "

@@ -50,7 +50,8 @@ def start_catalog_stream(spark: SparkSession, root: str, sink: str, checkpoint:
 
     Progress is kept at ``checkpoint``, by default in a folder of the shared one that is
     named by a digest of root and sink: a restart finds it from any process. Each batch
-    is range-partitioned on the catalog's partition columns, so a task writes few files.
+    is spread over tasks by the catalog's partition columns and a hash (see ``by_partition``),
+    so a task writes few files and a batch of one dataset's month is no single task.
     """
     name = hashlib.sha256(f"{root}\n{sink}".encode()).hexdigest()[:32]
     ckpt = checkpoint or scratch_path(spark, f"catalog-stream-{name}")
