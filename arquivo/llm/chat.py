@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +54,7 @@ def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("conv", "turn")}
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = partial(encoder(tokenizer).encode, literal=True)  # control strings in texts are escaped text
         for batch in batches:
             formatted, ids, head, body = [], [], [], []
             for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist()):

@@ -7,6 +7,7 @@ with the ranks read from that file, which gives the same ids several times faste
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 
@@ -19,6 +20,10 @@ _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 CHAR_BYTES = {chr(b): b for b in _PLAIN} | {
     chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in _PLAIN)}
 
+#: tiktoken's matcher nests on runs of white space and fails beyond some hundred thousand;
+#: texts with a run this long are encoded by ``tokenizers`` itself, which gives the same ids.
+LONG_RUN = re.compile(r"\s{50000}")
+
 _known: dict[str, "Encoder"] = {}
 
 
@@ -43,21 +48,41 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         model = file["model"]
-        special = {x["content"] for x in file.get("added_tokens", ())}
+        special = {x["content"]: x["id"] for x in file.get("added_tokens", ())}
         ranks = {bytes(CHAR_BYTES[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
         merged = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         if any(model["vocab"]["".join(m)] != 256 + i for i, m in enumerate(merged)):
             raise ValueError(f"{path}: ids do not follow the order of merges")
         self._bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.table = [b""] * (max(ranks.values()) + 1)  # the bytes of every id
+        self.table = [b""] * (max([*ranks.values(), *special.values()]) + 1)  # the bytes of every id
         for token, i in ranks.items():
             self.table[i] = token
+        for token, i in special.items():
+            self.table[i] = token.encode()
         self.size = np.array([len(t) for t in self.table], np.int64)
-
-    def encode(self, text: str) -> np.ndarray:
-        """The ids as little-endian unsigned 32-bit numbers; strings of special tokens are
-        ordinary text."""
-        return np.array(self._bpe.encode_ordinary(text), "<u4")
+        self._path, self._slow, self._special = path, None, special
+        longest_first = sorted(special, key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
+
+    def _ordinary(self, text: str) -> list[int]:
+        if len(text) < 50_000 or not LONG_RUN.search(text):
+            return self._bpe.encode_ordinary(text)
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self._path)
+            self._slow.encode_special_tokens = True
+        return self._slow.encode(text, add_special_tokens=False).ids
+
+    def encode(self, text: str, literal: bool = False) -> np.ndarray:
+        """The ids as little-endian unsigned 32-bit numbers. Strings of special tokens in the
+        text are those tokens, as the tokenizer reads them, or ordinary text if ``literal``."""
+        if literal or not any(s in text for s in self._special):
+            return np.array(self._ordinary(text), "<u4")
+        ids: list[int] = []
+        for part in self._cut.split(text):
+            ids += [self._special[part]] if part in self._special else self._ordinary(part)
+        return np.array(ids, "<u4")
 
     def decode(self, ids) -> str:
         return b"".join([self.table[i] for i in ids]).decode("utf-8")

@@ -4,24 +4,30 @@ Known words are scored by their log frequency in every language. A word that is
 is taken letter by letter: from each place the longest known character n-gram (four letters
 down to one) is scored by its log frequency among n-grams of its length.
 
-The counts are those of all training texts. The model keeps the most frequent words and
-n-grams, whole classes of equal frequency at a time, up to documented numbers; what it
-leaves out is scored by the next shorter unit, as any unseen word is.
+Every word and n-gram of the training texts is in the model, with its counts. While there are
+at most ``max_words`` and ``max_grams`` kinds the model is broadcast: words as sorted 64-bit hashes
+(24 bytes each with four languages). A larger model stays in tables, and the texts' words are
+counted by document and joined with them; both ways score alike.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arquivo.llm import common
 
 ORDERS = (4, 3, 2, 1)
-WORD = re.compile(r"[^\W\d_]+")
+#: Python counts some signs of other categories (as superscripts) as word characters.
+_NO_LETTERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
+WORD = re.compile(rf"[^\W\d_{re.escape(_NO_LETTERS)}]+")
 UNDETERMINED = "und"
 MEMO = 200_000
 
@@ -40,27 +46,32 @@ def counts(training: DataFrame) -> tuple[DataFrame, DataFrame]:
     return word, gram.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _frequent(table: DataFrame, unit: str, most: int) -> DataFrame:
-    """The rows of the most frequent units: about ``most`` of them, cut between classes of
-    frequency an eighth of an octave wide, so that the number of classes is bounded."""
-    total = table.groupBy(unit).agg(F.sum("n").alias("total")).withColumn("band", F.expr("cast(floor(log2(total) * 8) AS INT)"))
-    total = common.settle(total, "langid-totals")
-    bands = sorted(((r["band"], r["k"]) for r in total.groupBy("band").agg(F.count("*").alias("k")).collect()), reverse=True)
-    least, sum_k = bands[0][0] if bands else 0, 0
-    for band, k in bands:
-        if sum_k + k > most and sum_k:
-            break
-        least, sum_k = band, sum_k + k
-    return table.join(total.where(F.col("band") >= least).select(unit), unit)
-
-
 class Model:
-    def __init__(self, langs: list[str], words: dict[str, int], word_logs: np.ndarray, grams: dict[str, int], gram_logs: np.ndarray):
+    """A model for broadcast: sorted hashes of words, n-grams, and their log frequencies."""
+
+    def __init__(self, langs: list[str], words: np.ndarray, word_logs: np.ndarray, grams: dict[str, int], gram_logs: np.ndarray):
         self.langs, self.words, self.word_logs, self.grams, self.gram_logs = langs, words, word_logs, grams, gram_logs
+        self.place: dict[str, int] = {}
         self.memo: dict[str, list[int]] = {}
 
     def __getstate__(self):
-        return self.__dict__ | {"memo": {}}
+        return self.__dict__ | {"place": {}, "memo": {}}
+
+    def places(self, found: list[str]) -> np.ndarray:
+        """The numbers of words in the model; of unknown ones -1."""
+        at = list(map(self.place.get, found))
+        new = list({w for w, k in zip(found, at) if k is None})
+        if new:
+            hashed = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in new], np.uint64).view(np.int64)
+            k = np.searchsorted(self.words, hashed)
+            known = k < len(self.words)
+            known[known] = self.words[k[known]] == hashed[known]
+            if len(self.place) > MEMO:
+                self.place.clear()
+            own = dict(zip(new, np.where(known, k, -1).tolist()))
+            self.place |= own
+            at = [own[w] if i is None else i for w, i in zip(found, at)]
+        return np.array(at)
 
     def parts(self, word: str) -> list[int]:
         """The longest known n-grams of a word, one from each place."""
@@ -78,65 +89,100 @@ class Model:
         found = WORD.findall((text or "").lower())
         if not found or not self.langs:
             return UNDETERMINED, 0.0
-        known = list(map(self.words.get, found))
-        total = np.zeros(len(self.langs))
-        at = [k for k in known if k is not None]
-        if at:
-            total += self.word_logs[at].sum(axis=0)
-        if len(at) < len(found):
+        at = self.places(found)
+        total = self.word_logs[at[at >= 0]].sum(axis=0, dtype=np.float64)
+        if (at < 0).any():
             if len(self.memo) > MEMO:
                 self.memo.clear()
             grams: list[int] = []
-            for word, k in zip(found, known):
-                if k is None:
-                    g = self.memo.get(word)
-                    if g is None:
-                        g = self.memo[word] = self.parts(word)
-                    grams += g
-            if grams:
-                total += self.gram_logs[grams].sum(axis=0)
+            for i in np.flatnonzero(at < 0):
+                word = found[i]
+                g = self.memo.get(word)
+                if g is None:
+                    g = self.memo[word] = self.parts(word)
+                grams += g
+            total = total + self.gram_logs[grams].sum(axis=0, dtype=np.float64)
         share = np.exp(total - total.max())
         best = int(total.argmax())
         return self.langs[best], float(share[best] / share.sum())
 
 
-def learn(training: DataFrame, max_words: int = 150_000, max_grams: int = 50_000) -> Model:
-    """Count all of ``training`` (text, lang) and keep the most frequent units (all
-    languages together, so the model's size is bounded)."""
+class Tables:
+    """The same model as tables (word, logs) and (gram, logs)."""
+
+    def __init__(self, langs: list[str], words: DataFrame, grams: DataFrame):
+        self.langs, self.words, self.grams = langs, words, grams
+
+
+def _logs(table: DataFrame, unit: str, langs: list[str], whole: dict, key: str = "") -> DataFrame:
+    """(unit, logs): by language the log of (count + 1/2) / (all + kinds / 2); ``whole`` has all and
+    kinds by (language, value of the SQL ``key``)."""
+    wide = table.groupBy(unit).pivot("lang", langs).agg(F.sum("n"))
+    logs = []
+    for lang in langs:
+        by = {k: n + 0.5 * kinds for (x, k), (n, kinds) in whole.items() if x == lang}
+        base = "CASE " + " ".join(f"WHEN {key} = {k} THEN ln({v!r}D)" for k, v in by.items()) + " ELSE ln(1.5D) END" if key else f"ln({by[None]!r}D)"
+        logs.append(F.log(F.coalesce(F.col(f"`{lang}`"), F.lit(0)) + 0.5) - F.expr(base))
+    return wide.select(unit, F.array(*logs).alias("logs"))
+
+
+def learn(training: DataFrame, max_words: int = 2_000_000, max_grams: int = 500_000) -> Model | Tables:
+    """Count all words and n-grams of ``training`` (text, lang): a model for broadcast if there are
+    at most ``max_words`` and ``max_grams`` kinds of them, else its tables."""
     word, gram = counts(training)
     gram = common.settle(gram, "langid-grams")
-    sums = {r["lang"]: (r["n"], r["k"]) for r in word.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()}
-    langs = sorted(sums)
-    column = {lang: i for i, lang in enumerate(langs)}
-
-    def logs(rows: pd.DataFrame, unit: str, whole: np.ndarray, kinds: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
-        index = {u: i for i, u in enumerate(sorted(rows[unit].unique()))}
-        n = np.zeros((len(index), len(langs)))
-        n[rows[unit].map(index).to_numpy(np.int64), rows["lang"].map(column).to_numpy(np.int64)] = rows["n"].to_numpy()
-        return index, (np.log(n + 0.5) - np.log(whole + 0.5 * kinds)).astype(np.float32)
-
-    known = _frequent(word, "word", max_words).toPandas()
-    words, word_logs = logs(known, "word", np.array([sums[x][0] for x in langs], float), np.array([sums[x][1] for x in langs], float))
-    rows = _frequent(gram, "gram", max_grams).toPandas()
-    per = gram.groupBy("lang", F.length("gram").alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()
-    parts, index = [], {}
-    for k in ORDERS:
-        whole, kinds = np.ones(len(langs)), np.ones(len(langs))
-        for r in per:
-            if r["k"] == k:
-                whole[column[r["lang"]]], kinds[column[r["lang"]]] = r["n"], r["kinds"]
-        own, values = logs(rows[rows["gram"].str.len() == k], "gram", whole, kinds)
-        index |= {g: i + sum(map(len, parts)) for g, i in own.items()}
-        parts.append(values)
-    return Model(langs, words, word_logs, index, np.concatenate(parts))
-
-
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    whole = {(r["lang"], None): (r["n"], r["k"]) for r in word.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()}
+    per = {(r["lang"], r["k"]): (r["n"], r["kinds"]) for r in
+           gram.groupBy("lang", F.length("gram").alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
+    langs = sorted(x for x, _ in whole)
+    if not langs:
+        return Model([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32), {}, np.zeros((0, 0), np.float32))
+    words = common.settle(_logs(word, "word", langs, whole), "langid-word-logs")
+    grams = common.settle(_logs(gram, "gram", langs, per, "length(gram)"), "langid-gram-logs")
+    if words.count() > max_words or grams.count() > max_grams:
+        return Tables(langs, words, grams)
+    narrow = F.col("logs").cast("array<float>").alias("logs")
+    known = words.select(F.xxhash64("word").alias("h"), narrow).toArrow()  # 8 bytes, and 4 for each language
+    order = np.argsort(known["h"].to_numpy())
+
+    def matrix(table) -> np.ndarray:
+        return table["logs"].combine_chunks().flatten().to_numpy().reshape(-1, len(langs))
+
+    short = grams.select("gram", narrow).toArrow()
+    return Model(langs, known["h"].to_numpy()[order], matrix(known)[order], {g: i for i, g in enumerate(short["gram"].to_pylist())}, matrix(short))
+
+
+def _by_tables(docs: DataFrame, model: Tables, id_col: str, text_col: str) -> DataFrame:
+    """``identify`` by joins. A word's rows are one a document, so a frequent one is a large join key,
+    which adaptive execution splits."""
+    langs = range(len(model.langs))
+    keyed = common.settle(docs.select(F.col(id_col), F.col(text_col).alias("_text")).withColumn("_row", F.monotonically_increasing_id()), "langid-rows")
+    word = (keyed.select("_row", F.explode(F.expr("split(lower(_text), '[^\\\\p{L}]+', -1)")).alias("word")).where("word <> ''")
+            .groupBy("_row", "word").agg(F.count("*").alias("n")))
+    found = common.settle(word.join(model.words, "word", "left"), "langid-found")
+    new = found.where("logs IS NULL").select("word").distinct().withColumn("p", F.expr("concat('^', word, '$')"))
+    place = new.select("word", "p", F.explode(F.expr("sequence(1, length(p))")).alias("i"))
+    run = place.select("word", "i", F.explode(F.expr(
+        f"filter(transform(array({', '.join(map(str, ORDERS))}), k -> substr(p, i, k)), (g, j) -> length(g) = {ORDERS[0]} - j)")).alias("gram"))
+    longest = run.join(model.grams, "gram").groupBy("word", "i").agg(F.expr("max_by(logs, length(gram))").alias("logs"))
+    summed = longest.groupBy("word").agg(F.array(*(F.sum(F.col("logs")[i]) for i in langs)).alias("parts"))
+    scored = (found.join(summed, "word", "left")
+              .select("_row", "n", F.coalesce("logs", "parts", F.array(*(F.lit(0.0) for _ in langs))).alias("logs"))
+              .groupBy("_row").agg(F.array(*(F.sum(F.col("n") * F.col("logs")[i]) for i in langs)).alias("t")))
+    names = "array(" + ", ".join("'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" for x in model.langs) + ")"
+    return (keyed.join(scored, "_row", "left").withColumn("_max", F.expr("array_max(t)")).select(
+        id_col, F.expr(f"coalesce(get({names}, cast(coalesce(array_position(t, _max), 0) - 1 AS INT)), '{UNDETERMINED}')").alias("lang_pred"),
+        F.expr("coalesce(1 / aggregate(t, 0D, (s, x) -> s + exp(x - _max)), 0D)").alias("score")))
+
+
+def identify(docs: DataFrame, model: Model | Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) of every row's whole text. Null texts, texts without a letter
     and any text under a model that learned no language: ``und`` with score 0. Ties go to
     the language that sorts first; repeated rows are decided alike."""
+    if isinstance(model, Tables):
+        return _by_tables(docs, model, id_col, text_col)
     common.importable(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the model's parameters
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # counted, see learn
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:

@@ -24,15 +24,15 @@ WINDOW = 5
 QUANTILES = (.01, .02, .04, .06, .08, .1, .15, .2, .3, .4, .5, .6, .7, .8, .85, .9, .92, .94, .96, .98, .99)
 #: The statistics a rule may use, as SQL over the counts.
 RATES = {
-    "mean_word": "word_chars / n_words",
-    "symbol_rate": "n_symbols / n_words",
-    "dup_line_rate": "n_dup_lines / n_lines",
-    "repeat_rate": "n_repeat_words / n_words",
-    "upper_rate": "n_upper / word_chars",
-    "digit_rate": "n_digits / word_chars",
-    "bang_rate": "n_bangs / n_words",
-    "distinct_rate": "n_distinct / n_words",
-    "stop_rate": "n_stops / n_words",
+    "mean_word": "try_divide(word_chars, n_words)",
+    "symbol_rate": "try_divide(n_symbols, n_words)",
+    "dup_line_rate": "try_divide(n_dup_lines, n_lines)",
+    "repeat_rate": "try_divide(n_repeat_words, n_words)",
+    "upper_rate": "try_divide(n_upper, word_chars)",
+    "digit_rate": "try_divide(n_digits, word_chars)",
+    "bang_rate": "try_divide(n_bangs, n_words)",
+    "distinct_rate": "try_divide(n_distinct, n_words)",
+    "stop_rate": "try_divide(n_stops, n_words)",
     "log_words": "ln(n_words + 1)",
 }
 

@@ -412,8 +412,8 @@ def op10_warc(spark, sf_dir: str) -> DataFrame:
     write_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     parts = [read_warc(spark, path).where("record_type = 'response'").withColumn("payload_bytes", F.length("payload").cast("long")),
              read_warc(spark, path, payload=False).where("record_type = 'revisit'").withColumnRenamed("payload_length", "payload_bytes")]
-    columns = [_id("record_id").cast("long").alias("page_id"), F.col("payload_bytes"), F.col("payload_digest"), F.col("record_type"),
-               F.when(F.col("refers_to").isNotNull(), _id("refers_to").cast("long")).alias("refers_to")]
+    columns = [_id("record_id").try_cast("long").alias("page_id"), F.col("payload_bytes"), F.col("payload_digest"), F.col("record_type"),
+               F.when(F.col("refers_to").isNotNull(), _id("refers_to").try_cast("long")).alias("refers_to")]
     return parts[0].select(*columns).union(parts[1].select(*columns))
 
 

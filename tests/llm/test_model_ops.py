@@ -3,6 +3,7 @@ accuracy, and edge cases."""
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -19,9 +20,7 @@ ODD = [" ", "  ", "\n", " \n", "a", "b'", "'s", "é", "ß", "1", "٣", ".", "!!"
 
 @pytest.fixture(scope="module")
 def reference():
-    t = Tokenizer.from_file(encode.default_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(encode.default_path())
 
 
 def odd_texts(n=2000):
@@ -29,15 +28,25 @@ def odd_texts(n=2000):
     return ["".join(rng.choice(ODD) for _ in range(rng.randint(0, 12))) for _ in range(n)] + ["x" * 5000, " " * 3000]
 
 
-def test_encoding_equals_the_tokenizer(reference):
-    e = encode.encoder()
-    for t in odd_texts():
-        ids = e.encode(t)
+@pytest.mark.parametrize("literal", [False, True])
+def test_encoding_equals_the_tokenizer(literal):
+    e, reference = encode.encoder(), Tokenizer.from_file(encode.default_path())
+    reference.encode_special_tokens = literal
+    for t in odd_texts() + ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "a" + " " * 60_000 + "b", "x\n" + "\n \t" * 30_000 + "<|endoftext|>"]:
+        ids = e.encode(t, literal)
         assert ids.tolist() == reference.encode(t, add_special_tokens=False).ids
         assert e.decode(ids) == t
-        starts, ends = e.offsets(t)
-        own = reference.encode(t, add_special_tokens=False).offsets
-        assert [t[a:b].lstrip() for a, b in zip(starts, ends)] == [t[a:b].lstrip() for a, b in own]
+        if not literal:
+            starts, ends = e.offsets(t)
+            own = reference.encode(t, add_special_tokens=False).offsets
+            assert [t[a:b].lstrip() for a, b in zip(starts, ends)] == [t[a:b].lstrip() for a, b in own]
+    assert 50256 in e.encode("a <|endoftext|> b") and 50256 not in e.encode("a <|endoftext|> b", literal=True)
+
+
+def test_a_million_blanks():
+    e = encode.encoder()
+    text = "a" + " " * 1_000_000 + "\n" * 200_000 + "b"
+    assert e.decode(e.encode(text)) == text
 
 
 def docs_frame(spark, rows=True):
@@ -193,12 +202,66 @@ def test_language_backoff(spark):
     out = {r.doc_id: r for r in langid.identify(docs, model).collect()}
     assert all(out[i].lang_pred == lang for i, _, lang, _, _ in data[:300] if i % 5 == 0)
     assert (out[400].lang_pred, out[401].lang_pred, out[402].lang_pred) == ("und", "und", "aa")
-    small = langid.learn(docs.select("text", "lang"), max_words=1, max_grams=30)  # nearly all words are unseen
-    assert sum(small.predict(t)[0] == lang for _, t, lang, _, _ in data[:300]) >= 290
     empty = langid.learn(docs.limit(0).select("text", "lang"))
     assert empty.predict("katomi") == ("und", 0.0)
 
 
+def plain_language(train, text, orders=(4, 3, 2, 1)):
+    """Word-first backoff in full, by dictionaries of counts."""
+    import math
+    from collections import Counter
+
+    words = {}
+    for t, lang in train:
+        words.setdefault(lang, Counter()).update(re.findall(r"[^\W\d_]+", t.lower()))
+    grams = {lang: {k: Counter() for k in orders} for lang in words}
+    for lang, n in words.items():
+        for w, c in n.items():
+            for k in orders:
+                for i in range(len(w) + 3 - k):
+                    grams[lang][k][f"^{w}$"[i:i + k]] += c
+
+    def log(n, unit):
+        return math.log(n[unit] + 0.5) - math.log(n.total() + 0.5 * len(n))
+
+    total = dict.fromkeys(sorted(words), 0.0)
+    for w in re.findall(r"[^\W\d_]+", text.lower()):
+        if any(w in n for n in words.values()):
+            for lang in total:
+                total[lang] += log(words[lang], w)
+            continue
+        full = f"^{w}$"
+        for i in range(len(full)):
+            for k in orders:
+                if i + k <= len(full) and any(full[i:i + k] in grams[x][k] for x in words):
+                    for lang in total:
+                        total[lang] += log(grams[lang][k], full[i:i + k])
+                    break
+    best = max(total, key=lambda x: total[x])
+    return best, 1 / sum(math.exp(v - total[best]) for v in total.values())
+
+
+@pytest.mark.parametrize("max_words", [2_000_000, 1])
+def test_language_scores_equal_plain_counts(spark, max_words):
+    """A model for broadcast and one that stays in tables score alike."""
+    rng = random.Random(9)
+    words = {"aa": ["kato", "mito", "toka", "do"], "b'b": ["streng", "olf", "eng", "do"], "rare": ["ção", "lhe"]}
+    train = [(" ".join(rng.choice(words[x]) for _ in range(rng.randrange(1, 9))), x) for x in ["aa"] * 30 + ["b'b"] * 12 + ["rare"] * 2]
+    texts = [t for t, _ in train] + ["tokado strolf", "lhe", "kato kato olf unseen", "çã", "zzz", "DO Mito", "x" * 30_000, "lhe " * 3000]
+    model = langid.learn(spark.createDataFrame(train + [("ignored", None), (None, "aa")], "text string, lang string"), max_words=max_words)
+    assert isinstance(model, langid.Tables) == (max_words == 1)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(900, None), (901, ""), (902, "²³ ½ Ⅷ"), (903, "12 _"), (None, "kato"), (None, "kato")]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, lang_pred string, n int")
+    out = langid.identify(docs, model).collect()
+    assert len(out) == len(rows)
+    got = {r.doc_id: r for r in out}
+    for i, t in enumerate(texts):
+        lang, score = plain_language(train, t)
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-4, t[:30]
+    assert {(got[i].lang_pred, got[i].score) for i in (900, 901, 902, 903)} == {("und", 0.0)}
+    assert got[None].lang_pred == "aa"
+
+
 def pages(spark):
     data = [(1, "u", "aa"), (2, "u\r\nWARC-Type: x", "aa"), (3, None, ""), (4, "v", None), (5, "w", "b" * 200_000), (6, "z", "b" * 200_000),
             (7, "q", "\r\n\r\nWARC/1.1 é\r\n\r\n"), (1, "u", "aa"), (None, "n", "aa"), (8, "8", "aa")]
@@ -237,6 +300,12 @@ def test_warc_other_layouts(spark, tmp_path, kind):
     assert len(one) == 1 and one[0].payload == b"D" * 210_000
 
 
+def test_warc_query_with_null_ids(spark, tmp_path):
+    pages(spark).select("page_id", "url", "html").write.parquet(str(tmp_path / "pages.parquet"))
+    rows = warc.op10_warc(spark, str(tmp_path)).collect()
+    assert len(rows) == 10 and [r.payload_bytes for r in rows if r.page_id is None] == [2]
+
+
 def test_warc_edges(spark, tmp_path):
     warc.write_pages(pages(spark).limit(0), str(tmp_path / "e"))
     assert warc.read_warc(spark, str(tmp_path / "e")).collect() == []

@@ -189,3 +189,16 @@ def test_trie_walk_on_random_sets():
         second = simhash._links(turned[order], 0, 0, 3)
         pairs = list(enumerate(first)) + [(order[i], order[j]) for i, j in enumerate(second)]
         assert brute.components(len(x), pairs) == brute.components(len(x), brute.near(x, 3))
+
+
+def test_quality_rules_that_use_a_statistic_twice(spark, monkeypatch):
+    """Rates of texts without words are null, also where the optimizer computes them for every row."""
+    rules = quality.Rules([[("mean_word", ">", 5.0), ("mean_word", "<=", 9.0), ("upper_rate", "<=", 0.5)], [("dup_line_rate", ">", 0.5), ("dup_line_rate", "<=", 0.9)]])
+    monkeypatch.setattr(quality, "learn", lambda labelled: rules)
+    rows = [(0, ""), (1, None), (2, "abcdefg " * 12), (3, " ".join(f"ab{i}" for i in range(20))), (4, "\n\t ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(3, 1)], "doc_id long, quality int")
+    kept = {r.id: r.kept for r in quality.quality(docs, labels)[0].collect()}
+    assert kept == {0: False, 1: False, 2: False, 3: True, 4: False}
+    long = spark.createDataFrame([(2, " ".join(f"abcde{i}" for i in range(10, 30)))], "doc_id long, text string")
+    assert [r.kept for r in quality.quality(docs.where("doc_id <> 2").union(long), labels)[0].where("id = 2").collect()] == [False]
