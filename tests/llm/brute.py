@@ -54,44 +54,30 @@ def line_words(line):
     return [w for w in re.split(r"[\W_]+", line.lower()) if w]
 
 
-def line_simhash(words):
-    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
-    signed = [x - 2**64 if x >> 63 else x for x in h]
-    at = [i for i in range(1, len(words)) if signed[i] % 7 == 0]
-    at = at if len(at) >= 4 else list(range(1, len(words)))
-    return majority([xxhash.xxh64_intdigest(words[i].encode(), h[i - 1]) for i in at] if len(words) > 1 else h)
-
-
-def line_hash(words):
-    h = 42
-    for w in words:
-        h = xxhash.xxh64_intdigest(w.encode(), h)
-    return h - 2**64 if h >> 63 else h
-
-
-def line_links(lines):
-    """Pairs of indexes: classes of equal SimHash by their first line, then near classes."""
-    sims, keys = [line_simhash(x.split(" ")) for x in lines], [line_hash(x.split(" ")) for x in lines]
-
-    codes = [[line_hash([w]) % 55_000 for w in x.split(" ")] for x in lines]
-
-    def alike(i, j):
-        a, b = codes[i], codes[j]
-        return levenshtein(a, b) <= max(len(a), len(b)) // 5
-
-    pairs, nodes = [], []
-    for sim in set(sims):
-        rest = sorted((i for i in range(len(lines)) if sims[i] == sim), key=keys.__getitem__)
-        for _ in range(2):
-            if rest:
-                nodes.append(rest[0])
-                found = [i for i in rest[1:] if alike(i, rest[0])]
-                pairs += [(i, rest[0]) for i in found]
-                rest = [i for i in rest[1:] if i not in found]
-        nodes += rest
-        pairs += [(i, j) for i in rest for j in rest if i < j and alike(i, j)]
-    return pairs + [(nodes[i], nodes[j]) for i, j in near([sims[i] for i in nodes], 3)
-                    if sims[nodes[i]] != sims[nodes[j]] and alike(nodes[i], nodes[j])]
+def alike(a, b):
+    v, w = a.split(" "), b.split(" ")
+    return levenshtein(v, w) <= max(len(v), len(w)) // 5 or levenshtein(a, b) <= max(len(a), len(b)) // 10
+
+
+def line_links(lines, short=8):
+    """All pairs of lines that are alike by words, or of which one has fewer than ``short`` words
+    and they are alike. Word counts bound edits from below, so most pairs need no distance."""
+    words = [x.split(" ") for x in lines]
+    n = np.array([len(w) for w in words])
+    counts = np.array([np.bincount([xxhash.xxh64_intdigest(u.encode()) % 512 for u in w], minlength=512) for w in words], np.int16)
+    pairs = []
+    for i in range(len(lines)):
+        most = np.maximum(n[i + 1:], n[i]) // 5
+        may = np.abs(counts[i + 1:] - counts[i]).sum(1) <= 2 * most
+        for j in np.flatnonzero(may) + i + 1:
+            if levenshtein(words[i], words[j]) <= max(n[i], n[j]) // 5:
+                pairs.append((i, int(j)))
+        few = np.flatnonzero(~may & (np.minimum(n[i + 1:], n[i]) < short)) + i + 1
+        for j in few:
+            k = max(len(lines[i]), len(lines[j])) // 10
+            if abs(len(lines[i]) - len(lines[j])) <= k and levenshtein(lines[i], lines[j]) <= k:
+                pairs.append((i, int(j)))
+    return pairs
 
 
 def levenshtein(a, b):

@@ -84,14 +84,6 @@ def test_components_of_a_long_chain(spark):
     assert {r.component for r in rows} == {0} and {r.node for r in rows} == set(range(1, n))
 
 
-def test_line_simhash_bits(spark):
-    rng = random.Random(1)
-    data = [" ".join(words(rng, n, 10_000)) for n in (1, 2, 5, 20, 33, 64, 200, 600, 3000)]
-    frame = spark.createDataFrame([(i, t) for i, t in enumerate(data)], "id long, text string")
-    rows = {r.id: r.sim & brute.MASK for r in lines.line_table(frame).collect()}
-    assert [rows[i] for i in range(len(data))] == [brute.line_simhash(brute.line_words(t)) for t in data]
-
-
 @pytest.mark.parametrize("crowd", [64, 3])
 def test_line_groups_equal_brute_force(docs, texts, crowd):
     rows = lines.line_groups(docs, crowd=crowd).collect()
