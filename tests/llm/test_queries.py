@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 
 def test_all_are_registered():
     numbers = sorted(int(k.split("_")[0][2:]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries()) and set(queries.ORACLES) <= set(E.oracle_sql())
 
 
