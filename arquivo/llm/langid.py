@@ -5,8 +5,8 @@ is taken letter by letter: from each place the longest known character n-gram (f
 down to one) is scored by its log frequency among n-grams of its length.
 
 Every word and n-gram of the training texts is in the model, with its counts. While there are
-at most ``max_words`` and ``max_grams`` kinds the model is broadcast: words as sorted 64-bit hashes
-(24 bytes each with four languages). A larger model stays in tables, and the texts' words are
+at most ``max_words`` and ``max_grams`` kinds the model is broadcast, as sorted 64-bit hashes and
+their log frequencies (24 bytes each with four languages). A larger model stays in tables, and the texts' words are
 counted by document and joined with them; both ways score alike.
 """
 
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from arquivo.llm import common
 
 ORDERS = (4, 3, 2, 1)
-#: Python counts some signs of other categories (as superscripts) as word characters.
-_NO_LETTERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
-WORD = re.compile(rf"[^\W\d_{re.escape(_NO_LETTERS)}]+")
+WORD = re.compile(r"[^\W\d_]+")
+#: Signs of other categories (as superscripts) that Python counts as word characters.
+NO_LETTERS = frozenset(
+    c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
 UNDETERMINED = "und"
 MEMO = 200_000
 
@@ -46,10 +47,28 @@ def counts(training: DataFrame) -> tuple[DataFrame, DataFrame]:
     return word, gram.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def letter_runs(text: str) -> list[str]:
+    if not text.isascii() and not NO_LETTERS.isdisjoint(text):
+        text = "".join(" " if c in NO_LETTERS else c for c in text)
+    return WORD.findall(text)
+
+
+def _hashes(units: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(u.encode(), 42) for u in units], np.uint64).view(np.int64)
+
+
+def _find(known: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """The places of hashes among sorted ones; -1: not there."""
+    k = np.searchsorted(known, hashed)
+    if not len(known):
+        return np.full(len(hashed), -1)
+    return np.where(known[np.minimum(k, len(known) - 1)] == hashed, k, -1)
+
+
 class Model:
-    """A model for broadcast: sorted hashes of words, n-grams, and their log frequencies."""
+    """A model for broadcast: sorted hashes of words and of n-grams, and their log frequencies."""
 
-    def __init__(self, langs: list[str], words: np.ndarray, word_logs: np.ndarray, grams: dict[str, int], gram_logs: np.ndarray):
+    def __init__(self, langs: list[str], words: np.ndarray, word_logs: np.ndarray, grams: np.ndarray, gram_logs: np.ndarray):
         self.langs, self.words, self.word_logs, self.grams, self.gram_logs = langs, words, word_logs, grams, gram_logs
         self.place: dict[str, int] = {}
         self.memo: dict[str, list[int]] = {}
@@ -62,31 +81,26 @@ class Model:
         at = list(map(self.place.get, found))
         new = list({w for w, k in zip(found, at) if k is None})
         if new:
-            hashed = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in new], np.uint64).view(np.int64)
-            k = np.searchsorted(self.words, hashed)
-            known = k < len(self.words)
-            known[known] = self.words[k[known]] == hashed[known]
+            own = dict(zip(new, _find(self.words, _hashes(new)).tolist()))
             if len(self.place) > MEMO:
                 self.place.clear()
-            own = dict(zip(new, np.where(known, k, -1).tolist()))
             self.place |= own
             at = [own[w] if i is None else i for w, i in zip(found, at)]
         return np.array(at)
 
     def parts(self, word: str) -> list[int]:
         """The longest known n-grams of a word, one from each place."""
-        full, out = f"^{word}$", []
-        for i in range(len(full)):
-            for k in ORDERS:
-                g = self.grams.get(full[i : i + k])
-                if g is not None and i + k <= len(full):
-                    out.append(g)
-                    break
-        return out
+        full = f"^{word}$"
+        place = np.full(len(full), -1)
+        for k in sorted(ORDERS):  # longer ones replace shorter ones
+            runs = [full[i:i + k] for i in range(len(full) - k + 1)]
+            found = _find(self.grams, _hashes(runs))
+            place[: len(runs)] = np.where(found >= 0, found, place[: len(runs)])
+        return place[place >= 0].tolist()
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its share of probability among those learned (equal priors)."""
-        found = WORD.findall((text or "").lower())
+        found = letter_runs((text or "").lower())
         if not found or not self.langs:
             return UNDETERMINED, 0.0
         at = self.places(found)
@@ -126,7 +140,7 @@ def _logs(table: DataFrame, unit: str, langs: list[str], whole: dict, key: str =
     return wide.select(unit, F.array(*logs).alias("logs"))
 
 
-def learn(training: DataFrame, max_words: int = 2_000_000, max_grams: int = 500_000) -> Model | Tables:
+def learn(training: DataFrame, max_words: int = 4_000_000, max_grams: int = 2_000_000) -> Model | Tables:
     """Count all words and n-grams of ``training`` (text, lang): a model for broadcast if there are
     at most ``max_words`` and ``max_grams`` kinds of them, else its tables."""
     word, gram = counts(training)
@@ -136,20 +150,20 @@ def learn(training: DataFrame, max_words: int = 2_000_000, max_grams: int = 500_
            gram.groupBy("lang", F.length("gram").alias("k")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
     langs = sorted(x for x, _ in whole)
     if not langs:
-        return Model([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32), {}, np.zeros((0, 0), np.float32))
+        return Model([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros(0, np.int64), np.zeros((0, 0), np.float32))
     words = common.settle(_logs(word, "word", langs, whole), "langid-word-logs")
     grams = common.settle(_logs(gram, "gram", langs, per, "length(gram)"), "langid-gram-logs")
     if words.count() > max_words or grams.count() > max_grams:
         return Tables(langs, words, grams)
-    narrow = F.col("logs").cast("array<float>").alias("logs")
-    known = words.select(F.xxhash64("word").alias("h"), narrow).toArrow()  # 8 bytes, and 4 for each language
-    order = np.argsort(known["h"].to_numpy())
 
-    def matrix(table) -> np.ndarray:
-        return table["logs"].combine_chunks().flatten().to_numpy().reshape(-1, len(langs))
+    def collected(table: DataFrame, unit: str) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes and their logs: 8 bytes, and 4 for each language."""
+        rows = table.select(F.xxhash64(unit).alias("h"), F.col("logs").cast("array<float>").alias("logs")).toArrow()
+        hashed = rows["h"].to_numpy()
+        order = np.argsort(hashed)
+        return hashed[order], rows["logs"].combine_chunks().flatten().to_numpy().reshape(-1, len(langs))[order]
 
-    short = grams.select("gram", narrow).toArrow()
-    return Model(langs, known["h"].to_numpy()[order], matrix(known)[order], {g: i for i, g in enumerate(short["gram"].to_pylist())}, matrix(short))
+    return Model(langs, *collected(words, "word"), *collected(grams, "gram"))
 
 
 def _by_tables(docs: DataFrame, model: Tables, id_col: str, text_col: str) -> DataFrame:
