@@ -11,9 +11,10 @@ partition needs), and it finds every contaminated document. Of a document only h
 to the largest in any sketch are looked up. Candidates are verified by exact containment of
 shingle texts.
 
-Words are runs of letters and digits in lower case. An item with fewer than five words is
-one shingle, its whole text, and is found in documents that have no other words. Items and
-documents without words never match.
+Words are runs of letters and digits in lower case. An item with k < 5 words is one shingle
+of k words, its whole text, and is found wherever a document has these words in a row: documents
+are read in shingles of k words too, for just those k (at most four) that items have. Items
+and documents without words never match.
 """
 
 from __future__ import annotations
@@ -30,24 +31,34 @@ def _words(text: str) -> str:
     return f"filter(split(regexp_replace(lower(coalesce({text}, '')), '[^\\\\p{{L}}\\\\p{{N}}]+', ' '), ' '), x -> x <> '')"
 
 
-def _hashes(w: str) -> str:
-    """SQL: the hashes of the shingles of a word array, in order."""
-    gram = ", ".join(f"{w}[i + {k}]" for k in range(SHINGLE))
-    return (f"CASE WHEN size({w}) >= {SHINGLE} THEN transform(sequence(0, size({w}) - {SHINGLE}), i -> xxhash64({gram})) "
-            f"WHEN size({w}) > 0 THEN array(xxhash64(size({w}), array_join({w}, ' '))) ELSE cast(array() AS array<bigint>) END")
+def _grams(w: str, k: int) -> str:
+    """SQL: the hashes of the runs of k words of a word array, in order."""
+    gram = ", ".join(f"{w}[i + {j}]" for j in range(k))
+    return (f"IF(size({w}) >= {k}, transform(sequence(0, size({w}) - {k}), i -> xxhash64({gram})), "
+            "cast(array() AS array<bigint>))")
 
 
-def _shingles(w: str) -> str:
-    """SQL: the distinct shingles of a word array, as texts."""
-    return (f"CASE WHEN size({w}) >= {SHINGLE} THEN array_distinct(transform(sequence(1, size({w}) - {SHINGLE - 1}), "
-            f"i -> array_join(slice({w}, i, {SHINGLE}), ' '))) "
-            f"WHEN size({w}) > 0 THEN array(array_join({w}, ' ')) ELSE cast(array() AS array<string>) END")
+def _texts(w: str, k: int) -> str:
+    """SQL: the runs of k words of a word array, as texts."""
+    return (f"IF(size({w}) >= {k}, transform(sequence(1, size({w}) - {k - 1}), i -> array_join(slice({w}, i, {k}), ' ')), "
+            "cast(array() AS array<string>))")
+
+
+def _of_item(w: str, of) -> str:
+    """SQL: the shingles of an item, which are its whole text if it has fewer than five words."""
+    short = " ".join(f"WHEN size({w}) = {k} THEN {of(w, k)}" for k in range(1, SHINGLE))
+    return f"array_distinct(CASE {short} ELSE {of(w, SHINGLE)} END)"
+
+
+def _of_document(w: str, of, short: list[int]) -> str:
+    """SQL: the shingles of a document, of five words and of every length in ``short``."""
+    return "concat(" + ", ".join(of(w, k) for k in (SHINGLE, *short)) + ")"
 
 
 def sketches(items: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """(item, h): the sketch of every item (columns item, w), by size partition."""
     up, down = threshold
-    sized = (items.select("item", F.expr(f"array_sort(array_distinct({_hashes('w')}))").alias("hs"))
+    sized = (items.select("item", F.expr(f"array_sort({_of_item('w', _grams)})").alias("hs"))
              .where("size(hs) > 0").withColumn("part", F.expr("cast(floor(log2(size(hs))) AS INT)")))
     need = sized.groupBy("part").agg(F.expr(
         f"max(size(hs) - cast(ceil({up} * size(hs) / {down}) AS INT) + 1)").alias("k"))
@@ -68,9 +79,11 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                          .distinct(), "decontam-items")
     sketch = common.settle(sketches(item, threshold).distinct(), "decontam-sketches")
     known = sketch.agg(F.count("*").alias("n"), F.max("h").alias("top")).first()
+    few = item.where(f"size(w) BETWEEN 1 AND {SHINGLE - 1}").select(F.size("w").alias("k")).distinct()
+    short = sorted(r.k for r in few.collect())  # four numbers at most
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("rid"))
     worded = rows.select("id", "rid", F.expr(_words("text")).alias("w"))
-    probe = worded.select("id", "rid", F.explode_outer(F.expr(_hashes("w"))).alias("h")).where(F.col("h") <= F.lit(known["top"]))
+    probe = worded.select("id", "rid", F.explode_outer(F.expr(_of_document("w", _grams, short))).alias("h")).where(F.col("h") <= F.lit(known["top"]))
     hit = (common.join_counted(probe, sketch, "h", "inner", known["n"]).select("id", "rid", "item").distinct()
            .groupBy("id", "rid").agg(F.collect_set(F.struct("item")).alias("items")))
     hit = common.settle(hit, "decontam-candidates")
@@ -78,9 +91,9 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     found = common.join_counted(
         rows.alias("d"), hit.alias("c"), F.expr("d.rid = c.rid AND d.id <=> c.id"), "inner", hit.count())
     own = (found.select("d.id", "d.rid", F.expr(_words("d.text")).alias("w"), "c.items")
-           .select("id", "rid", "items", F.expr(_shingles("w")).alias("has"))
+           .select("id", "rid", "items", F.expr(f"array_distinct({_of_document('w', _texts, short)})").alias("has"))
            .select("id", "rid", "has", F.explode("items").alias("i")).select("id", "rid", "has", "i.item"))
-    want = item.select("item", F.expr(_shingles("w")).alias("want"))
+    want = item.select("item", F.expr(_of_item("w", _texts)).alias("want"))
     pair = common.join_counted(
         own.alias("o"), want.alias("i"), F.expr("o.item <=> i.item"), "inner", SHINGLE * known["n"])
     return (pair.select("o.id", "o.rid", "o.item", F.expr("size(array_intersect(want, has))").alias("n_shared"),
@@ -105,17 +118,17 @@ def stage_decontam(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return common.join_counted(docs.alias("d"), gone.alias("g"), on, "left_anti", gone.count())
 
 
-def _sql_shingles(table: str, key: str) -> str:
-    return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5
-      THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-      ELSE [array_to_string(w, ' ')] END) AS s
-    FROM (SELECT {key}, list_filter(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '),
-      lambda x: x <> '') AS w FROM {table}) WHERE len(w) > 0"""
-
+_SQL_WORDS = ("list_filter(string_split(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), "
+              "lambda x: x <> '')")
 
 ORACLE = f"""
-WITH d AS ({_sql_shingles('documents', 'doc_id')}),
-     i AS ({_sql_shingles('benchmark', 'item_id')}),
+WITH dw AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+     iw AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+     k AS (SELECT 5 AS k UNION SELECT len(w) FROM iw WHERE len(w) BETWEEN 1 AND 4),
+     d AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+           FROM dw, k WHERE len(w) >= k),
+     i AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2),
+             lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS s FROM iw WHERE len(w) > 0),
      n AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id)
 SELECT d.doc_id, i.item_id, count(*) AS n_shared, any_value(n.n_shingles) AS n_shingles
 FROM i JOIN d ON d.s = i.s JOIN n ON n.item_id = i.item_id

@@ -115,8 +115,15 @@ def shingles(text):
     return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
+def runs(text, k):
+    w = line_words(text or "")
+    return {" ".join(w[i : i + k]) for i in range(len(w) - k + 1)}
+
+
 def contaminated(docs, items):
-    have, want = {d: shingles(t) for d, t in docs.items()}, {i: shingles(t) for i, t in items.items()}
+    want = {i: shingles(t) for i, t in items.items()}
+    short = {len(line_words(t or "")) for t in items.values()} & {1, 2, 3, 4}
+    have = {d: set().union(*(runs(t, k) for k in {5} | short)) for d, t in docs.items()}
     return {(d, i, len(s & h), len(s)) for d, h in have.items() for i, s in want.items() if s and 5 * len(s & h) >= 4 * len(s)}
 
 

@@ -97,6 +97,21 @@ def test_lines_are_taken_out(docs, texts):
     assert got == brute.without_repeats(texts)
 
 
+def test_scratch_deletes_what_it_owns(spark):
+    import os
+
+    with common.scratch() as outer:
+        with common.scratch() as keep:
+            left, result = common.settle(spark.range(3), "test"), keep(common.settle(spark.range(4), "test"))
+        assert not os.path.exists(left.settled_path) and result.count() == 4
+        final = outer(common.settle(result.where("id > 1"), "test"))
+    assert not os.path.exists(result.settled_path) and final.count() == 2
+    with pytest.raises(ZeroDivisionError), common.scratch():
+        left = common.settle(spark.range(3), "test")
+        raise ZeroDivisionError
+    assert not os.path.exists(left.settled_path)
+
+
 def test_line_edges(spark):
     out = lines.dedup_lines(edge(spark))
     assert out.columns == edge(spark).columns
@@ -125,6 +140,16 @@ def test_decontamination_equals_brute_force(spark, docs, texts):
     assert any(s < n for _, _, s, n in got) and any(i == 40 for _, i, _, _ in got)
 
 
+def test_short_items_are_found_inside_documents(spark):
+    docs = {1: "One two, ALPHA beta gamma delta three four five six", 2: "alpha beta gamma", 3: "delta alpha beta delta",
+            4: "solo", 5: "a b c d solo", 6: "", 7: None, 8: "alphabeta gamma delta", 9: "alpha beta gamma delta"}
+    items = {1: "alpha beta gamma delta", 2: "alpha-beta", 3: "solo", 4: "", 5: None, 6: "one two alpha beta gamma"}
+    frame = [spark.createDataFrame(list(x.items()), f"{c} long, text string") for x, c in ((docs, "doc_id"), (items, "item_id"))]
+    got = {tuple(r) for r in decontam.contaminated(*frame).select("id", "item", "n_shared", "n_shingles").collect()}
+    assert got == brute.contaminated(docs, items)
+    assert {(d, i) for d, i, *_ in got} == {(1, 1), (9, 1), (1, 2), (2, 2), (3, 2), (9, 2), (4, 3), (5, 3), (1, 6)}
+
+
 def test_decontamination_edges(spark):
     items = spark.createDataFrame([(1, "a b c d e f"), (None, "f g h i j"), (1, "a b c d e f")], "item_id long, text string")
     rows = decontam.contaminated(edge(spark), items).select("id", "item").collect()
