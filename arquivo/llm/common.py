@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import math
 import os
 import tempfile
@@ -61,9 +63,36 @@ def settle(df: DataFrame, label: str) -> DataFrame:
         conf.set(SHUFFLE_CLEANUP, before)
     settled = df.sparkSession.read.schema(df.schema).parquet(path)
     settled.settled_path = path
+    if _OPEN.get():
+        _OPEN.get()[-1].append(settled)
     return settled
 
 
+#: The tables that each open ``scratch`` owns, innermost last.
+_OPEN: contextvars.ContextVar[tuple[list[DataFrame], ...]] = contextvars.ContextVar("scratch", default=())
+
+
+@contextlib.contextmanager
+def scratch():
+    """Own the tables settled inside: all are deleted at the end but those given to the
+    function it yields, which pass to the scratch around it, if there is one. So a result
+    read later must have been settled, or read only tables given to that function."""
+    mine, kept, around = [], [], _OPEN.get()
+    opened = _OPEN.set((*around, mine))
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.settled_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _OPEN.reset(opened)
+        free(*(df for df in mine if df.settled_path not in kept))
+        if around:
+            around[-1].extend(df for df in mine if df.settled_path in kept)
+
+
 def free(*frames: DataFrame) -> None:
     """Delete tables that ``settle`` wrote and nothing reads any more."""
     for df in frames:
@@ -96,6 +125,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label)
     before = None
     while True:
+        old = edge
         lower = (  # nodes that are not the smallest of their neighbourhood
             edge.select("u", "v").union(edge.select(F.col("v").alias("u"), F.col("u").alias("v")))
             .groupBy("u").agg(F.min("v").alias("m")).where("m < u"))
@@ -106,6 +136,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             "CASE WHEN v = m THEN array(struct(u AS u, m AS v)) "
             "ELSE array(struct(v AS u, m AS v), struct(u AS u, m AS v)) END")).alias("e")).select("e.*").distinct()
         edge = settle(small, label)
+        free(old, lower)
         seen = edge.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(seen) == before:
             return edge.select(F.col("u").alias("node"), F.col("v").alias("component"))
