@@ -265,10 +265,17 @@ def unclassified(files: DataFrame, max_depth: int = 3) -> DataFrame:
         "_ancs", ancestors_from_parts("_dparts", max_depth)
     ).withColumn("_stem", stem_before_extension(F.lower(F.col("filename")), F.col("extension")))
     periods = [dict(zip(reg.PERIOD_SCHEMA.fieldNames(), row)) for row in reg.period_rows()]
+    dirs = sorted({p["period_dir"] for p in periods})
+    names = sorted({"|".join((p["shape"], p["prefix"], p["extension"])) for p in periods})
     keys = sorted({"|".join((p["period_dir"], p["shape"], p["prefix"], p["extension"])) for p in periods})
-    key = "concat(a.ancestor, '|', c.shape, '|', c.prefix, '|', extension)"
-    taken = F.expr(f"exists(_ancs, a -> exists(_cands, c -> coalesce({key} IN ({_sql_list(keys)}), false)))")
-    return _candidates(staged, registry_shapes()).filter(~taken).select(*columns)
+    # Most files lie under one known directory at most, and most decompositions are no
+    # registered name anywhere: both are thrown out before they are put together.
+    named = staged.withColumn("_ancs", F.expr(f"filter(_ancs, a -> a.ancestor IN ({_sql_list(dirs)}))"))
+    named = _candidates(named, registry_shapes()).withColumn("_keys", F.expr(
+        "filter(transform(_cands, c -> concat(c.shape, '|', c.prefix, '|', extension)), "
+        f"k -> coalesce(k IN ({_sql_list(names)}), false))"))
+    taken = F.expr(f"exists(_ancs, a -> exists(_keys, k -> concat(a.ancestor, '|', k) IN ({_sql_list(keys)})))")
+    return named.filter(~F.coalesce(taken, F.lit(False))).select(*columns)
 
 
 def within_depth(files: DataFrame, start_dirs: list[str], max_depth: int = 3) -> DataFrame:

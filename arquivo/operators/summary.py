@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arquivo.sources import registry as reg
+from arquivo.sources.store import write_observed
 
 
 def _per_dataset(classified: DataFrame) -> DataFrame:
@@ -71,6 +72,15 @@ def dataset_totals(classified: DataFrame) -> DataFrame:
     ).orderBy(F.col("is_total"), F.col("dataset"))
 
 
+def summary_once(classified: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """A1 and A2 of one pass: (the summary of ``dataset_summary``, stored at ``path``; its total)."""
+    rows, total = write_observed(
+        dataset_summary(classified), path, n_files=F.coalesce(F.sum("n_files"), F.lit(0)),
+        total_bytes=F.coalesce(F.sum("total_bytes"), F.lit(0)).cast("bigint"))
+    return (rows.orderBy("dataset"),
+            classified.sparkSession.createDataFrame([(total["n_files"], total["total_bytes"])], "n_files long, total_bytes long"))
+
+
 def group_summary(classified: DataFrame) -> DataFrame:
     """A10 (derived) + J4: files and bytes per group and dataset, with group
     subtotals and a grand total (rollup of the counts per dataset)."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from arquivo.operators.classify import with_known_ancestors
 from arquivo.operators.partition import support_local_path, with_stored_path
 from arquivo.sources import registry as reg
+from arquivo.sources.store import write_observed
 
 KINDS = ("doc", "aux")
 
@@ -155,6 +156,13 @@ def dry_run_total(entries: DataFrame) -> DataFrame:
     )
 
 
+def dry_run_once(entries: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """A6 rows and total of one pass over ``entries``: (rows, stored at ``path``; the total)."""
+    rows, total = write_observed(
+        dry_run(entries), path, n_files=F.count(F.lit(1)), total_bytes=F.coalesce(F.sum("size"), F.lit(0)).cast("bigint"))
+    return rows, entries.sparkSession.createDataFrame([(total["n_files"], total["total_bytes"])], "n_files long, total_bytes long")
+
+
 def path_collisions(entries: DataFrame) -> DataFrame:
     """Stored paths shared by several remote files (H11), with the count."""
     return entries.groupBy(F.col("local_path")).agg(F.count(F.lit(1)).alias("n_files")).filter(

@@ -27,6 +27,7 @@ from arquivo.session import scratch_path
 from arquivo.sources import fixtures as fx
 from arquivo.sources import registry as reg
 from arquivo.sources import store as S
+from arquivo.sources.listing import read_listing, write_listing
 
 ROOT = "/data"
 ARCHIVE_ROOT = "/archive"
@@ -202,6 +203,30 @@ def q_dry_run(spark, sf):
     return SY.dry_run(dry_run_entries(spark, sf))
 
 
+def q_dry_run_once(spark, sf):
+    """A6 rows and, as a row without url, their total, all from one scan."""
+    rows, total = SY.dry_run_once(dry_run_entries(spark, sf), _scratch(spark, "dry-run"))
+    last = total.select(*(F.lit(None).cast("string").alias(c) for c in ("dataset", "type", "partition", "url")), "n_files", "total_bytes")
+    return rows.select("dataset", "type", "partition", "url", F.lit(1).cast("bigint").alias("n_files"),
+                       F.col("size").alias("total_bytes")).unionByName(last)
+
+
+def q_summary_once(spark, sf):
+    """A1 rows and, as a row without dataset, their total, all from one scan."""
+    rows, total = SU.summary_once(classified(spark, sf), _scratch(spark, "summary"))
+    none = F.lit(None).cast("string")
+    return rows.unionByName(total.select(
+        none.alias("dataset"), "n_files", "total_bytes", none.alias("first_period"), none.alias("last_period")))
+
+
+def q_listing_roundtrip(spark, sf):
+    """The listing stored as dumps, read back and parsed."""
+    path = _scratch(spark, "listing")
+    write_listing(listing_lines(spark, sf).select("dir", "line"), path)
+    f = LS.listing_files(LS.parse_listing(read_listing(spark, path)))
+    return f.select("dir", "filename", "extension", "size", "size_invalid", _ts("datetime").alias("datetime"), "full_path")
+
+
 def q_dry_run_total(spark, sf):
     return SY.dry_run_total(dry_run_entries(spark, sf))
 
@@ -210,6 +235,13 @@ def q_sync_plan(spark, sf):
     return plan(spark, sf).select("id", "dataset", "local_path", "size")
 
 
+def q_sync_plan_bucketed(spark, sf):
+    """J2 against an inventory stored in buckets of its path."""
+    name = f"inventory_{uuid.uuid4().hex}"
+    local = S.write_inventory(local_copy(spark, sf), name, scratch_path(spark, name))
+    return SY.sync_plan(entries(spark, sf), local).select("id", "dataset", "local_path", "size")
+
+
 def q_sync_batches(spark, sf):
     return SY.sync_batches(plan(spark, sf))
 
@@ -479,6 +511,10 @@ QUERIES = {
     "dry_run": q_dry_run,
     "dry_run_total": q_dry_run_total,
     "sync_plan": q_sync_plan,
+    "sync_plan_bucketed": q_sync_plan_bucketed,
+    "dry_run_once": q_dry_run_once,
+    "summary_once": q_summary_once,
+    "listing_roundtrip": q_listing_roundtrip,
     "sync_batches": q_sync_batches,
     "failed_files_report": q_failed_files_report,
     "failed_files_total": q_failed_files_total,

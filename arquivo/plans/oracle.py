@@ -321,6 +321,15 @@ def oracles() -> dict[str, str]:
     o["dry_run_total"] = _with(*_dry_run_ctes(), select=(
         "SELECT count(*) AS n_files, CAST(COALESCE(sum(COALESCE(size, 0)), 0) AS BIGINT) AS total_bytes FROM dry"))
     o["sync_plan"] = _with(_local_copy_cte(), _plan_cte(), select="SELECT id, dataset, local_path, size FROM plan")
+    o["sync_plan_bucketed"] = o["sync_plan"]
+    o["dry_run_once"] = _with(*_dry_run_ctes(), select=(
+        "SELECT dataset, type, partition, url, CAST(1 AS BIGINT) AS n_files, size AS total_bytes FROM dry UNION ALL "
+        "SELECT NULL, NULL, NULL, NULL, count(*), CAST(COALESCE(sum(size), 0) AS BIGINT) FROM dry"))
+    o["summary_once"] = ("WITH rows_of AS (" + o["dataset_summary"] + ") SELECT * FROM (SELECT dataset, n_files, total_bytes, first_period, last_period "
+                         "FROM rows_of UNION ALL SELECT NULL, CAST(COALESCE(sum(n_files), 0) AS BIGINT), CAST(COALESCE(sum(total_bytes), 0) AS BIGINT), "
+                         "NULL, NULL FROM rows_of) q")
+    o["listing_roundtrip"] = _with(select=(
+        f"SELECT dir, filename, extension, size, size_invalid, {TS} AS datetime, full_path FROM pfiles"))
     o["sync_batches"] = _with(_local_copy_cte(), _plan_cte(), select=(
         "SELECT dataset, count(*) AS n_pending, CAST(sum(COALESCE(size, 0)) AS BIGINT) AS pending_bytes "
         "FROM plan GROUP BY dataset"))

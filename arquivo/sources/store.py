@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -220,3 +220,26 @@ def read_slice(spark: SparkSession, path: str, slicer: Slicer | None = None,
         if slicer.regions:
             rows = rows.where(F.col("uf").isin(list(slicer.regions)))
     return rows.withColumn("partition_dir", period)
+
+
+def write_inventory(inventory: DataFrame, table: str, path: str, buckets: int | None = None, path_col: str = "path") -> DataFrame:
+    """Store an inventory (path, size, ...) as ``table`` at ``path``, bucketed and sorted by the
+    stored path, and return it. ``sync_status`` and ``manifest`` on it group and join by that path without
+    shuffling it: only the day's entries move. ``buckets`` should be about the shuffle partitions
+    of the joins (the default), as a join with fewer buckets than that may be shuffled again.
+    An existing table of that name is replaced."""
+    spark = inventory.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One task writes each bucket, so a bucket is one file.
+    (inventory.repartition(n, path_col).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(n, path_col).sortBy(path_col).saveAsTable(table))
+    return spark.table(table)
+
+
+def write_observed(df: DataFrame, path: str, **totals: Column) -> tuple[DataFrame, dict]:
+    """Store ``df`` as Parquet and take ``totals`` (aggregates by name) of its rows in the same
+    pass: (the stored rows, the totals). The totals are gathered by the tasks that write, of
+    which each counts once however often it was tried."""
+    seen = Observation()
+    df.observe(seen, *(column.alias(name) for name, column in totals.items())).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get

@@ -194,3 +194,33 @@ def test_sync_takes_any_condition(spark):
                                     + [(BASE + "/CIHA/201101_/Doc", "01-15-24  10:00AM  7 Manual.PDF")], "dir string, line string")
     got = sync(listing, root="/data", dry_run=True, docs=True, where=(F.col("size") > 0) & (F.col("uf") != "pe"))
     assert sorted(r.filename for r in got.collect()) == ["Manual.PDF", "RDTO9711.dbc"]
+
+
+def test_a_bucketed_inventory_is_not_shuffled(spark, tmpdir_fresh):
+    from arquivo.operators import sync as SY
+    rows = [(f"/data/p{i % 40}", i % 3) for i in range(60)] + [(None, 1)]
+    plain = spark.createDataFrame(rows, "path string, size long")
+    local = S.write_inventory(plain, "inventory_of_test", f"{tmpdir_fresh}/inventory")
+    entries = spark.createDataFrame([(f"/data/p{i}", i % 4) for i in range(50)], "local_path string, size long")
+    threshold = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        got = SY.sync_status(entries, local)
+        assert plan_of(got).count("Exchange") == 1 and plan_of(SY.sync_status(entries, plain)).count("Exchange") == 2
+        assert sorted(got.collect()) == sorted(SY.sync_status(entries, plain).collect())
+        assert {r.status for r in got.collect()} == {"complete", "incomplete", "missing"}
+    finally:
+        spark.conf.set(threshold, before)
+    again = S.write_inventory(plain.limit(1), "inventory_of_test", f"{tmpdir_fresh}/inventory", 2)
+    assert again.count() == 1
+
+
+def test_totals_of_rows_while_they_are_written(spark, tmpdir_fresh):
+    from arquivo.operators import sync as SY
+    cols = "dataset string, type string, partition string, size long, url string"
+    for i, rows in enumerate(([("a", "data", "x", 5, "u"), ("a", "data", None, None, "v"), ("b", "doc", "y", 7, "w")], [])):
+        df = spark.createDataFrame(rows, cols)
+        stored, total = SY.dry_run_once(df, f"{tmpdir_fresh}/{i}")
+        assert sorted(map(str, stored.collect())) == sorted(map(str, SY.dry_run(df).collect()))
+        assert total.collect() == SY.dry_run_total(df).collect()
