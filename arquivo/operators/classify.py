@@ -9,8 +9,9 @@ Two plans give the same rows:
 
 * ``classify`` (default): every shape is anchored at the end of the stem, so the
   prefix is whatever precedes it and the match becomes an *equi*-join on
-  (directory, shape, prefix, extension) against the broadcast registry. One
-  literal regex per shape and file; the join does a hash lookup.
+  (directory, shape, prefix, extension) against the broadcast registry. The mask
+  of a name's end (letters and digits) tells which shapes it can have; the join
+  does a hash lookup.
 * ``classify_by_regex``: the literal reading, a broadcast join on directory with
   the period regex as residual predicate. Regexes then come from a column, so
   they are compiled at run time; kept as the reference semantics to test against.
@@ -32,19 +33,24 @@ from arquivo.functions.columns import (
 )
 from arquivo.sources import registry as reg
 
-# Each shape (except 'any') is a fixed-length tail of the stem. Per shape:
-# tail length n and the fields it holds as (offset from the end, length). The
-# test uses substrings, set membership (UF codes, months) and short anchored
-# digit checks: no scanning regex per file.
-_SHAPES = {
-    "uf_year2_month": dict(n=6, f={"uf": (6, 2), "yy": (4, 2), "month": (2, 2)}),
-    "uf_year": dict(n=6, f={"uf": (6, 2), "yyyy": (4, 4)}),
-    "uf_year2": dict(n=4, f={"uf": (4, 2), "yy": (2, 2)}),
-    "year": dict(n=4, f={"yyyy": (4, 4)}),
-    "year2": dict(n=2, f={"yy": (2, 2)}),
-    "uf_mapas_year": dict(n=13, f={"uf": (13, 2), "yyyy": (4, 4)}, lit=(11, "_mapas_")),
-    "uf_cnv": dict(n=6, f={"uf": (6, 2)}, lit=(4, "_cnv")),
-}
+# A name's mask has 'a' for a letter and '9' for a digit. Every shape is a tail of the stem
+# with one mask ('any' has no tail); a SIA/PA name has a version letter or none. Whatever
+# masks a stem ends in, each is the end of the longest one.
+_FORMS = [
+    ("uf_year2_month", "aa9999"),
+    ("uf_year2_month_sia_pa", "aa9999"),
+    ("uf_year2_month_sia_pa", "aa9999a"),
+    ("uf_year", "aa9999"),
+    ("uf_year2", "aa99"),
+    ("year", "9999"),
+    ("year2", "99"),
+    ("uf_mapas_year", "aa_aaaaa_9999"),
+    ("uf_cnv", "aa_aaa"),
+    ("any", ""),
+]
+_LITERALS = {"uf_mapas_year": "_mapas_", "uf_cnv": "_cnv"}  # what follows the UF
+_MONTHLY = ("uf_year2_month", "uf_year2_month_sia_pa")
+_UF_SHAPES = tuple(dict.fromkeys(s for s, mask in _FORMS if mask.startswith("aa")))
 _UF_LOWER = [c.lower() for c in reg.UF_CODES]
 _MONTHS = [f"{m:02d}" for m in range(1, 13)]
 
@@ -53,84 +59,61 @@ def _sql_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-def _tail_sql(stem: str, off: int, length: int) -> str:
-    return f"substring({stem}, length({stem}) - {off - 1}, {length})"
-
-
-def _century_sql(yy: str) -> str:
-    return f"(CASE WHEN substring({yy}, 1, 1) IN ('7', '8', '9') THEN 1900 ELSE 2000 END + try_cast({yy} AS INT))"
-
-
-def _shape_test_sql(shape: str, stem: str) -> str:
-    spec = _SHAPES[shape]
-    f = spec["f"]
-    cond = [f"length({stem}) >= {spec['n']}"]
-    if "uf" in f:
-        cond.append(f"{_tail_sql(stem, *f['uf'])} IN ({_sql_list(_UF_LOWER)})")
-    if "yy" in f:
-        cond.append(f"{_tail_sql(stem, *f['yy'])} RLIKE '^[0-9]{{2}}$'")
-    if "yyyy" in f:
-        cond.append(f"{_tail_sql(stem, *f['yyyy'])} RLIKE '^[0-9]{{4}}$'")
-    if "month" in f:
-        cond.append(f"{_tail_sql(stem, *f['month'])} IN ({_sql_list(_MONTHS)})")
-    if "lit" in spec:
-        off, text = spec["lit"]
-        cond.append(f"{_tail_sql(stem, off, len(text))} = '{text}'")
-    return " AND ".join(cond)
-
-
-def _candidate_sql(shape: str, stem: str, matched: str, version: str | None = None,
-                   label: str | None = None) -> str:
-    spec = _SHAPES[shape]
-    f = spec["f"]
-    uf = _tail_sql(stem, *f["uf"]) if "uf" in f else "CAST(NULL AS STRING)"
-    if "yy" in f:
-        year = _century_sql(_tail_sql(stem, *f["yy"]))
-    elif "yyyy" in f:
-        year = f"CAST({_tail_sql(stem, *f['yyyy'])} AS INT)"
-    else:
-        year = "CAST(NULL AS INT)"
-    month = f"CAST({_tail_sql(stem, *f['month'])} AS INT)" if "month" in f else "CAST(NULL AS INT)"
-    prefix = f"substring({stem}, 1, length({stem}) - {spec['n']})"
-    return (f"CASE WHEN {matched} THEN named_struct('shape', '{label or shape}', 'prefix', {prefix}, "
-            f"'uf', {uf}, 'year', {year}, 'month', {month}, 'version', {version or 'CAST(NULL AS STRING)'}) END")
-
-
-def _candidates(df: DataFrame, shapes: list[str]) -> DataFrame:
-    """Adds ``_cands``: candidate decompositions of ``_stem``, one slot per shape
-    (null when the stem does not end in that shape).
-
-    Staged in separate projections so that the stem and each shape test are
-    computed once per row (keeps the generated code small). The expressions
-    are written as SQL text: one call builds each, however many nodes."""
-    sia = "uf_year2_month_sia_pa" in shapes
-    if sia:
-        df = df.withColumn("_core", F.expr(
-            "CASE WHEN substring(_stem, -1, 1) BETWEEN 'a' AND 'z' AND length(_stem) > 0 "
-            "THEN substring(_stem, 1, length(_stem) - 1) ELSE _stem END"))
-    tests = {}
-    for s in shapes:
-        if s == "any":
-            continue
-        tests[s] = _shape_test_sql("uf_year2_month", "_core") if s == "uf_year2_month_sia_pa" \
-            else _shape_test_sql(s, "_stem")
-    df = df.select("*", *[F.expr(t).alias(f"_m_{s}") for s, t in tests.items()])
-    cands = []
-    for s in shapes:
-        if s == "any":
-            cands.append("named_struct('shape', 'any', 'prefix', '', 'uf', CAST(NULL AS STRING), "
-                         "'year', CAST(NULL AS INT), 'month', CAST(NULL AS INT), 'version', _stem)")
-        elif s == "uf_year2_month_sia_pa":
-            version = "CASE WHEN length(_core) < length(_stem) THEN substring(_stem, -1, 1) ELSE '' END"
-            cands.append(_candidate_sql("uf_year2_month", "_core", f"_m_{s}", version, label=s))
-        else:
-            cands.append(_candidate_sql(s, "_stem", f"_m_{s}"))
-    drop = [f"_m_{s}" for s in tests] + (["_core"] if sia else [])
-    return df.withColumn("_cands", F.expr("array(" + ", ".join(cands) + ")")).drop(*drop)
-
-
-def registry_shapes() -> list[str]:
-    return sorted({p.shape for d in reg.DATASETS.values() for p in d.periods})
+def _in_stem(mask: str, at: int, length: int) -> str:
+    """SQL: ``length`` characters of the stem's tail with that mask, from its place ``at``."""
+    return f"substring(_stem, length(_stem) - {len(mask) - at - 1}, {length})"
+
+
+def _form_sql(shape: str, mask: str) -> str:
+    """SQL: the decomposition of the stem into prefix and tail; null if the tail, whose mask
+    is known to be right, has no UF, month or text of the shape."""
+    cond = []
+    if shape in _UF_SHAPES:
+        cond.append(f"{_in_stem(mask, 0, 2)} IN ({_sql_list(_UF_LOWER)})")
+    if shape in _MONTHLY:
+        cond.append(f"{_in_stem(mask, 4, 2)} IN ({_sql_list(_MONTHS)})")
+    if shape in _LITERALS:
+        cond.append(f"{_in_stem(mask, 2, len(_LITERALS[shape]))} = '{_LITERALS[shape]}'")
+    prefix = f"substring(_stem, 1, length(_stem) - {len(mask)})" if mask else "''"
+    form = f"named_struct('shape', '{shape}', 'prefix', {prefix}, 'n', {len(mask)})"
+    return f"CASE WHEN {' AND '.join(cond)} THEN {form} END" if cond else form
+
+
+def _candidates(df: DataFrame) -> DataFrame:
+    """Adds ``_cands``: the decompositions of ``_stem`` as (shape, prefix, n), n being the
+    length of the tail. The mask of the name's end leads to the few shapes it can have, so
+    no other shape is tried; the tail's fields are read only of names that a period takes."""
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    longest = max(len(mask) for _, mask in _FORMS)
+    masked = df.withColumn("_mask", F.expr(
+        f"translate(right(_stem, {longest}), '{letters}{digits}', '{'a' * len(letters)}{'9' * len(digits)}')"))
+
+    def forms(mask: str) -> str:
+        return "array_compact(array(" + ", ".join(_form_sql(s, m) for s, m in _FORMS if mask.endswith(m)) + "))"
+
+    masks = sorted({m for _, m in _FORMS if m}, key=len, reverse=True)
+    cases = " ".join(f"WHEN endswith(_mask, '{m}') THEN {forms(m)}" for m in masks)
+    return masked.withColumn("_cands", F.expr(f"CASE {cases} ELSE {forms('')} END")).drop("_mask")
+
+
+def _fields() -> dict[str, Column]:
+    """Partition fields of a name (``_stem``) that was taken as ``_c``."""
+    tail = "right(_stem, _c.n)"
+
+    def century(yy: str) -> str:
+        return f"CASE WHEN substring({yy}, 1, 1) IN ('7', '8', '9') THEN 1900 ELSE 2000 END + try_cast({yy} AS INT)"
+
+    monthly, ufs = _sql_list(_MONTHLY), _sql_list(_UF_SHAPES)
+    return {
+        "uf": F.expr(f"CASE WHEN _c.shape IN ({ufs}) THEN left({tail}, 2) END"),
+        "year": F.expr(
+            f"CASE WHEN _c.shape IN ({monthly}, 'uf_year2') THEN {century(f'substring({tail}, 3, 2)')} "
+            f"WHEN _c.shape = 'year2' THEN {century(tail)} "
+            f"WHEN _c.shape IN ('uf_year', 'year', 'uf_mapas_year') THEN try_cast(right(_stem, 4) AS INT) END"),
+        "month": F.expr(f"CASE WHEN _c.shape IN ({monthly}) THEN try_cast(substring({tail}, 5, 2) AS INT) END"),
+        "version": F.expr(
+            f"CASE WHEN _c.shape = 'any' THEN _stem WHEN _c.shape = 'uf_year2_month_sia_pa' THEN substring({tail}, 7, 1) END"),
+    }
 
 
 def _registry_broadcast(spark) -> DataFrame:
@@ -189,8 +172,7 @@ def classify(files: DataFrame, max_depth: int = 3) -> DataFrame:
     staged = exploded.withColumn(
         "_stem", stem_before_extension(F.lower(F.col("filename")), F.col("extension"))
     )
-    cand = _candidates(staged, registry_shapes()).withColumn("_c", F.explode_outer("_cands")) \
-        .filter(F.col("_c").isNotNull())
+    cand = _candidates(staged).withColumn("_c", F.explode_outer("_cands")).filter(F.col("_c").isNotNull())
     r = _registry_broadcast(spark).select(
         F.col("period_dir").alias("_r_dir"), F.col("shape").alias("_r_shape"),
         F.col("prefix").alias("_r_prefix"), F.col("extension").alias("_r_ext"),
@@ -205,13 +187,8 @@ def classify(files: DataFrame, max_depth: int = 3) -> DataFrame:
         "inner",
     )
     base_cols = [c for c in files.columns if c not in OUT_COLS]
-    return joined.select(
-        *base_cols,
-        "dataset", "preliminary",
-        F.col("_c.uf").alias("uf"), F.col("_c.year").alias("year"),
-        F.col("_c.month").alias("month"), F.col("_c.version").alias("version"),
-        "period_dir", "depth",
-    )
+    fields = [column.alias(name) for name, column in _fields().items()]
+    return joined.select(*base_cols, "dataset", "preliminary", *fields, "period_dir", "depth")
 
 
 def _extract_by_pattern(lname: Column, pattern: Column, shape: Column) -> dict[str, Column]:
@@ -271,7 +248,7 @@ def unclassified(files: DataFrame, max_depth: int = 3) -> DataFrame:
     # Most files lie under one known directory at most, and most decompositions are no
     # registered name anywhere: both are thrown out before they are put together.
     named = staged.withColumn("_ancs", F.expr(f"filter(_ancs, a -> a.ancestor IN ({_sql_list(dirs)}))"))
-    named = _candidates(named, registry_shapes()).withColumn("_keys", F.expr(
+    named = _candidates(named).withColumn("_keys", F.expr(
         "filter(transform(_cands, c -> concat(c.shape, '|', c.prefix, '|', extension)), "
         f"k -> coalesce(k IN ({_sql_list(names)}), false))"))
     taken = F.expr(f"exists(_ancs, a -> exists(_keys, k -> concat(a.ancestor, '|', k) IN ({_sql_list(keys)})))")
