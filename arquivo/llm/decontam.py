@@ -111,7 +111,9 @@ def op4_decontam(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_decontam(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's stage: contaminated documents go."""
+    """The pipeline's stage: contaminated documents go. Null and empty texts stay, rows
+    with a null id are judged by their own text, repeated rows go or stay together, and an
+    empty table stays empty. Other columns pass, whatever their names."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     gone = common.settle(contaminated(docs, items).select("id", "rid").distinct(), "decontam-gone")
     on = F.expr("xxhash64(d.doc_id, d.text) = g.rid AND d.doc_id <=> g.id")

@@ -147,5 +147,7 @@ def op9_packing(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_packing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's last stage: what is left is packed."""
+    """The pipeline's last stage: what is left is packed. Null texts are empty, repeated
+    rows are packed as often as they occur, null ids stay null, an empty table gives no rows
+    and other columns are ignored, whatever their names."""
     return pack(docs)

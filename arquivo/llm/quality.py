@@ -195,7 +195,9 @@ def op3_quality(spark, sf_dir: str) -> DataFrame:
 
 
 def stage_quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pipeline's stage: rejected documents go."""
+    """The pipeline's stage: rejected documents go, those with null or empty texts among
+    them. Rows with a null id are judged by their text, repeated rows and ties alike. An
+    empty table stays empty. Other columns pass, whatever their names."""
     verdict = op3_quality_docs(spark, docs, sf_dir)
     gone = common.settle(verdict.where("NOT kept").select("id", "rid").distinct(), "quality-gone")
     on = F.expr("xxhash64(d.doc_id, d.text) = g.rid AND d.doc_id <=> g.id")
