@@ -236,8 +236,8 @@ def op1_simhash(spark, sf_dir: str) -> DataFrame:
 def stage_simhash(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pipeline's stage: of each group of near-duplicates the document with the
     smallest id stays (rows repeated with that id are the same document). Null and empty
-    texts are one group. Rows with a null id stay only if their whole group has none. An
-    empty table stays empty. Other columns pass, whatever their names."""
+    texts are one group. Rows with a null id count as one document, which stays if any of
+    them is in a group without ids. An empty table stays empty. Other columns pass, whatever their names."""
     named = simhash_groups(docs).groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component"))).alias("stays"))
     gone = common.settle(named.where("NOT stays").select("doc_id"), "simhash-gone")
     return common.join_counted(docs.alias("d"), gone.alias("g"), F.expr("d.doc_id <=> g.doc_id"), "left_anti", gone.count())
