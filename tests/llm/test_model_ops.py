@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from arquivo.llm import chat, encode, langid, packing, tokens, toxicity, warc
@@ -103,6 +104,20 @@ def test_guests_find_hosts_up_the_tree(spark):
     assert len({r.sequence_id for r in rows}) <= 165  # 150 at best; alone, the partitions make over 180
 
 
+def test_every_underfull_bin_can_be_a_host():
+    """Neither nearly full bins nor those beyond the emptiest thousand are kept from the merges."""
+    fill = np.array([*[1100] * 1500, *range(1101, 1401), 2000, 2047, 2048])
+    up = packing._carried(fill, 2048, 0)
+    assert set(fill[up]) == set(fill) - {2048}  # a bin of every fill but a full one
+    assert (fill[up] == 1100).sum() >= packing.FAN
+
+
+def test_a_guest_of_few_tokens_finds_a_nearly_full_host(spark):
+    texts = ["a " * 2035, "b"]  # the long one leaves less than a 64th of the sequence
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(texts)), 2), "doc_id long, text string")
+    assert len({r.sequence_id for r in packing.pack(docs).collect()}) == 1
+
+
 @pytest.mark.parametrize("rule", tokens.RULES)
 def test_allocation_rules(rule):
     # Sections [0, 3), [3, 4), [4, 9); tokens that cross one or both boundaries.
@@ -189,6 +204,22 @@ def test_toxicity_learns_stems(spark):
     assert (none.score == 0).all() and not none.toxic.any()
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Of 3,400 toxic rows the last 400 by hash have a word of their own, which must be learned."""
+    monkeypatch.setattr(toxicity, "WARM", 800, raising=False)
+    ids = [r.id for r in spark.range(4000).selectExpr("id").orderBy(F.xxhash64("id")).collect()]
+    rng = random.Random(2)
+    data = []
+    for place, i in enumerate(ids):
+        other = [rng.choice(["bako", "lemi", "suta", "reno"]) for _ in range(4)]
+        data.append((i, " ".join([*other, "zargle" if place >= 3600 else "vexor" if place >= 600 else "milo"]), "en", int(place >= 600)))
+    docs = spark.createDataFrame([(i, t, x, "s", 0) for i, t, x, _ in data], SCHEMA)
+    labels = spark.createDataFrame([(i, y) for i, *_, y in data], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+    late, clean = [got[i] for i in ids[3600:]], [got[i] for i in ids[:600]]
+    assert min(late) > 0.9 and max(clean) < 0.3
+
+
 def test_language_backoff(spark):
     rng = random.Random(6)
     syllables = {"aa": ["ka", "to", "mi"], "bb": ["str", "eng", "olf"], "cc": ["ção", "lhe", "que"]}
