@@ -1,15 +1,15 @@
 """Best-fit packing of token sequences by hierarchical residual packing.
 
 Every partition encodes its documents, cuts those longer than a sequence, and packs the
-pieces best-fit (longest first) into bins. Nearly full bins are final. Underfull bins go up
+pieces best-fit (longest first) into bins. Full bins are final. Underfull bins go up
 a tree of merges: a task takes the underfull bins of ``FAN`` children as items of one more
 best-fit round.
 
 What goes up is bounded without loss. Best-fit leaves at most one bin at or under half of
 the capacity, and two bins over half never fit together, so a child has at most one guest
-for the others. A merge of ``FAN`` children needs at most ``FAN`` hosts, and the emptiest
-ones serve any guest that has a host at all. So beside its guest a task passes on its
-``CARRY`` emptiest bins, many more than all levels need; its other bins are final.
+for the others, and a merge of ``FAN`` children needs at most ``FAN`` hosts. Equally full bins
+are as good as each other. So a task passes on all its bins with room, but of equally full ones
+no more than all merges above it can use; the others are final, as full bins are.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from arquivo.llm import common
 from arquivo.llm.encode import encoder
 
 FAN = 16
-CARRY = 1024
+EQUAL = 8 * FAN  # equally full bins that go up: Spark's partitions are under 2**31, so at most 8 merges lie above one
 END = 0  # the id that follows every document
 
 
@@ -56,26 +56,26 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _carried(fill: np.ndarray, capacity: int, nearly: int) -> np.ndarray:
-    """Which bins go up: underfull ones, the emptiest first."""
-    order = np.argsort(fill, kind="stable")[: CARRY + 1]
+    """Which bins go up: underfull ones, of equally full ones the first ``EQUAL``."""
+    order = np.argsort(fill, kind="stable")
+    level = fill[order]
     out = np.zeros(len(fill), bool)
-    out[order] = fill[order] < capacity - nearly
+    out[order] = (level < capacity - nearly) & (np.arange(len(fill)) - np.searchsorted(level, level) < EQUAL)
     return out
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048,
-         tokenizer: str | None = None, nearly: int | None = None, keep_ids: bool = False) -> DataFrame:
+         tokenizer: str | None = None, nearly: int = 0, keep_ids: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and
     ``ids``, little-endian unsigned 32-bit numbers, if ``keep_ids``).
 
     A document is the ids of its text and then END; a null text counts as empty, so every
     row gives at least one token. Only documents over ``capacity`` are cut: all their pieces
-    are full but the first. Bins with at most ``nearly`` (capacity / 64) left are final.
+    are full but the first. Bins with at most ``nearly`` left are final: by default, full ones.
     Repeated rows are packed as often as they occur; null ids stay null. An empty table
     gives an empty result.
     """
     common.importable(docs.sparkSession)
-    nearly = capacity // 64 if nearly is None else nearly
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
